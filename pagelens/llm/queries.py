@@ -13,6 +13,14 @@ from pagelens.session import prepare, table
 TOKENIZERS = os.environ.get("PAGELENS_TOKENIZERS", "/opt/tokenizers")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of regions whose texts look the same but have different characters."""
+    from pagelens.llm.confusables import look_alike_pairs, look_digests
+
+    rows = table(prepare(spark), sf_dir, "region_rows")
+    return look_alike_pairs(look_digests(rows, "region_key", "text", "exported_at")).toDF("region_a", "region_b")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of each document by byte_bpe_50k."""
     from pagelens.llm.encode import encode_corpus
@@ -21,7 +29,7 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p6_ids": p6_ids}
+    return {"p4_found": p4_found, "p6_ids": p6_ids}
 
 
 def oracle_sql() -> dict[str, str]:
