@@ -89,7 +89,7 @@ def cuts(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both[order], opened[order]
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
+def text_runs(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
     """The batch cut into runs of rows of at most SEGMENT_BYTES of text."""
     ids, text = batch.column(0), batch.column(1).cast(pa.large_binary())
     offsets = np.frombuffer(text.buffers()[1], dtype=np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
@@ -107,7 +107,7 @@ def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for ids, text in _pieces(batch):
+        for ids, text in text_runs(batch):
             text = pa.concat_arrays([text.fill_null(b"")])  # offsets from 0, no null
             offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
             data = text.buffers()[2]

@@ -28,8 +28,16 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(prepare(spark), sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the evaluation items that leaked into them."""
+    from pagelens.llm.leakage import leaked_items
+
+    prepare(spark)
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p6_ids": p6_ids}
+    return {"p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
