@@ -38,10 +38,10 @@ SCRIPTS = {c: frozenset(k for k in range(3) if s[k] != ".") for c, s in _shape.i
 
 # Characters without a visible form beside category Cf.
 _BLANK = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x3164, 0xFFA0}
-ZWJ = "‍"
+ZWJ = "\u200d"
 
-_TOKEN = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
-_JOINED = re.compile("(?<=[^\u0000-⿿])‍(?=[^\u0000-⿿])")
+_TOKEN = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f]+[^\W\d_]*)*")
+_JOINED = re.compile("(?<=[^\u0000-\u2fff])\u200d(?=[^\u0000-\u2fff])")
 #: Texts of these characters only are in the consistent form, unless they begin or end with a space.
 _PLAIN = re.compile(r"(?:[^\W\d_a-zA-Zª-ϿѠ-\U0010ffff]|[0-9 !-/:-@\[-`{-~№])*")
 

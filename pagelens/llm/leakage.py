@@ -49,7 +49,7 @@ def _word_table() -> dict[int, str | None]:
     out: dict[int, str | None] = {o: (v if v is None or v in " \n" else v.lower()) for o, v in _GENERAL.items()}
     for c in "'’ʼ‘`´ʹ":
         out[ord(c)] = "'"
-    for c in "-‐‑­":
+    for c in "-\u2010\u2011\u00ad":
         out[ord(c)] = "-"
     for o in range(0x300, 0x370):
         out[o] = None

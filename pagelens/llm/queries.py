@@ -36,8 +36,15 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with template residue, filler, error pages or script notices."""
+    from pagelens.llm.residue import residue_documents
+
+    return residue_documents(table(prepare(spark), sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found}
+    return {"p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
