@@ -6,11 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagelens.session import prepare, table
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagelens.operators.nested import flatten
+
+    return flatten(table(prepare(spark), sf_dir, "page_raw"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each region object of the pages of page_raw by page and path."""
+    from pagelens.operators.nested import region_table
+
+    return region_table(_nested(spark, sf_dir)).select("page_id", "region_path")
+
+
 def queries() -> dict[str, Query]:
-    return {}
+    return {"p1_found": p1_found}
 
 
 def oracle_sql() -> dict[str, str]:
