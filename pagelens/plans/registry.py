@@ -24,9 +24,44 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region_table(_nested(spark, sf_dir)).select("page_id", "region_path")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loose files that the recorded packing loses or holds more than once."""
+    from pagelens.operators.compaction import audit_packing
+
+    prepare(spark)
+    t = lambda n: table(spark, sf_dir, n)
+    return audit_packing(t("pack_files"), t("shard_members"), t("pack_manifest")).drop("held")
+
+
+def p5_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new packing: each distinct loose file with its shard."""
+    from pagelens.operators.compaction import repack
+
+    prepare(spark)
+    return repack(table(spark, sf_dir, "pack_files"), table(spark, sf_dir, "pack_manifest"))
+
+
+P5_FOUND_SQL = """
+WITH plain AS (
+  SELECT DISTINCT export_id, trim(regexp_replace(regexp_replace(replace(coalesce(dir, ''), chr(92), '/'), '(^|/)([.](/|$))+', '/', 'g'), '/+', '/', 'g'), '/') AS dir, file_name
+  FROM pack_files WHERE export_id IS NOT NULL AND file_name IS NOT NULL AND NOT regexp_matches(file_name, '^shard-.*[.]tar$')
+), newest AS (
+  SELECT * FROM pack_manifest QUALIFY row_number() OVER (PARTITION BY export_id ORDER BY written_at DESC) = 1
+), dirs AS (SELECT export_id, unnest(packed_dirs) AS d FROM newest),
+named AS (SELECT DISTINCT export_id, d.dir AS dir, unnest(d.shards) AS shard FROM dirs),
+members AS (SELECT DISTINCT export_id, dir, shard, member_no, member_name FROM shard_members),
+held AS (
+  SELECT export_id, dir, member_name, count(*) AS n FROM members SEMI JOIN named USING (export_id, dir, shard) GROUP BY ALL
+)
+SELECT p.export_id, p.dir, p.file_name FROM plain p
+LEFT JOIN held h ON h.export_id = p.export_id AND h.dir = p.dir AND h.member_name = p.file_name
+WHERE coalesce(h.n, 0) <> 1
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found}
+    return {"p1_found": p1_found, "p5_found": p5_found, "p5_plan": p5_plan}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p5_found": P5_FOUND_SQL}
