@@ -294,27 +294,27 @@ def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 p = members[r].get("page")
                 page_of[r] = p if p is not None and ix.kind[p] == _OPEN and ix.byte[p] == 0x7B else r
             members |= _members(ix, names, np.array([p for r, p in page_of.items() if p != r], np.int64))
+            pictures = {p: t for p in page_of.values() if (t := members[p].get("image")) is not None and ix.kind[t] == _OPEN and ix.byte[t] == 0x7B}
+            inner = _members(ix, names, np.fromiter(pictures.values(), np.int64, len(pictures)))
             frontier: dict[int, tuple] = {}
             for r, p in page_of.items():
                 k = first + int(ix.doc[r])
                 owner = tuple(col[k] for col in ids)
                 own = members[p]
                 rows.add(*owner, "page", None, None, None, 0, [(n, ix.field(v)) for n, v in own.items() if n not in ("regions", "image")])
-                image = own.get("image")
-                if image is not None and ix.kind[image] == _OPEN and ix.byte[image] == 0x7B:
-                    inner = _members(ix, names, np.array([image]))[image]
-                    rows.add(*owner, "image", None, None, None, 0, [(n, ix.field(v)) for n, v in inner.items()])
+                if p in pictures:
+                    rows.add(*owner, "image", None, None, None, 0, [(n, ix.field(v)) for n, v in inner[pictures[p]].items()])
                 if "regions" in own:
                     _queue(ix, own["regions"], (owner, None, 1), frontier, texts)
             _emit_regions(ix, names, frontier, rows, texts)
             while texts:  # lists that came as JSON text are indexed in turn
                 raw = [t.encode("utf-8", "surrogatepass") for t, _ in texts]
                 ends = np.cumsum([0] + [len(x) for x in raw])
-                inner = Index(np.frombuffer(b"".join(raw), np.uint8), ends)
-                lists = np.flatnonzero((inner.kind == _OPEN) & (inner.byte == 0x5B) & (inner.box == -1))
-                frontier = {int(t): texts[inner.doc[t]][1] for t in lists if inner.whole[inner.doc[t]]}
+                sub = Index(np.frombuffer(b"".join(raw), np.uint8), ends)
+                lists = np.flatnonzero((sub.kind == _OPEN) & (sub.byte == 0x5B) & (sub.box == -1))
+                frontier = {int(t): texts[sub.doc[t]][1] for t in lists if sub.whole[sub.doc[t]]}
                 texts = []
-                _emit_regions(inner, inner.names(), frontier, rows, texts)
+                _emit_regions(sub, sub.names(), frontier, rows, texts)
             yield rows.batch()
 
 
