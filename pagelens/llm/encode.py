@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelens.arrow import text_runs
 from pagelens.session import require, stage
 
 #: Bytes of text in a segment, at most, unless one text alone is longer.
@@ -89,31 +90,15 @@ def cuts(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both[order], opened[order]
 
 
-def text_runs(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """The batch cut into runs of rows of at most SEGMENT_BYTES of text."""
-    ids, text = batch.column(0), batch.column(1).cast(pa.large_binary())
-    offsets = np.frombuffer(text.buffers()[1], dtype=np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
-    a = 0
-    while a < len(text):
-        b = int(np.searchsorted(offsets, offsets[a] + SEGMENT_BYTES, side="right")) - 1
-        b = min(max(b, a + 1), len(text))
-        yield ids.slice(a, b - a), text.slice(a, b - a)
-        a = b
-
-
 def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to segment rows."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for ids, text in text_runs(batch):
-            text = pa.concat_arrays([text.fill_null(b"")])  # offsets from 0, no null
-            offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-            data = text.buffers()[2]
-            first, last = int(offsets[0]), int(offsets[-1])
-            buf = np.frombuffer(data, np.uint8)[first:last] if data is not None and last > first else np.zeros(0, np.uint8)
-            starts = offsets[:-1] - first
+        for first, buf, offsets in text_runs(batch, SEGMENT_BYTES):
+            starts = offsets[:-1]
+            ids = batch.column(0).slice(first, len(starts))
             at, opened = cuts(buf, starts)
             ends = np.append(at, len(buf)).astype(np.int64)
             pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(buf))])

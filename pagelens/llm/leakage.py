@@ -31,10 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelens.arrow import text_runs
 from pagelens.llm.confusables import SHAPES, _GENERAL
-from pagelens.llm.encode import text_runs
 from pagelens.session import require, stage
 
+#: Bytes of text in a segment, at most, unless one text alone is longer.
+SEGMENT_BYTES = 4 << 20
 #: Words in a row that make a passage, and how many of so many may have a slip.
 PASSAGE = 12
 SLIPS = 2
@@ -98,8 +100,11 @@ def _indexer(vocabulary):  # a Broadcast of word -> term
         term_of = vocabulary.value
         get = term_of.get
         for batch in batches:
-            for ids, texts in text_runs(batch):
-                lists = [np.fromiter((get(w, -1) for w in words(t.decode("utf-8", "replace"))), np.int32) if t else np.zeros(0, np.int32) for t in texts.to_pylist()]
+            for first, buf, offsets in text_runs(batch, SEGMENT_BYTES):
+                ids = batch.column(0).slice(first, len(offsets) - 1)
+                data = buf.tobytes()
+                texts = (data[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+                lists = [np.fromiter((get(w, -1) for w in words(t)), np.int32) if t else np.zeros(0, np.int32) for t in texts]
                 sizes = np.array([len(x) + 1 for x in lists], np.int64)
                 starts = np.concatenate([[0], np.cumsum(sizes)])
                 line = np.full(starts[-1], -1, np.int32)
@@ -109,18 +114,18 @@ def _indexer(vocabulary):  # a Broadcast of word -> term
                 order = np.argsort(line[at], kind="stable")
                 at = at[order]
                 of = line[at]
-                terms, first = np.unique(of, return_index=True)
+                terms, begin = np.unique(of, return_index=True)
                 doc = np.searchsorted(starts, at, side="right")
                 new = np.ones(len(at), bool)
                 new[1:] = (of[1:] != of[:-1]) | (doc[1:] != doc[:-1])
-                df = np.add.reduceat(new, first).astype(np.int32) if len(first) else np.zeros(0, np.int32)
+                df = np.add.reduceat(new, begin).astype(np.int32) if len(begin) else np.zeros(0, np.int32)
                 wrap = lambda x, t: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, t))
                 yield pa.RecordBatch.from_arrays([
                     pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids.cast(pa.int64())),
                     wrap(starts.astype(np.int32), pa.int32()),
                     wrap(terms, pa.int32()),
                     wrap(df, pa.int32()),
-                    wrap(np.append(first[1:], len(at)).astype(np.int32) if len(first) else first.astype(np.int32), pa.int32()),
+                    wrap(np.append(begin[1:], len(at)).astype(np.int32) if len(begin) else begin.astype(np.int32), pa.int32()),
                     wrap(at, pa.int32()),
                 ], schema=_SEGMENT)
 

@@ -13,6 +13,24 @@ from pagelens.session import prepare, table
 TOKENIZERS = os.environ.get("PAGELENS_TOKENIZERS", "/opt/tokenizers")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose family of writer and book lies on more than one side."""
+    from pagelens.llm.splits import split_families
+
+    return split_families(table(prepare(spark), sf_dir, "page_records"))
+
+
+#: Proportions of the splits that p2_split assigns.
+PROPORTIONS = {"train": 0.8, "val": 0.1, "test": 0.1}
+
+
+def p2_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split for each page that keeps families together."""
+    from pagelens.llm.splits import assign_splits
+
+    return assign_splits(table(prepare(spark), sf_dir, "page_records"), PROPORTIONS)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of regions whose texts look the same but have different characters."""
     from pagelens.llm.confusables import look_alike_pairs, look_digests
@@ -44,7 +62,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p2_found": p2_found, "p2_split": p2_split, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
