@@ -31,6 +31,20 @@ def p2_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_splits(table(prepare(spark), sf_dir, "page_records"), PROPORTIONS)
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of training and evaluation pages that are the same or nearly."""
+    from pagelens.llm.cross_split import cross_split_pairs
+
+    return cross_split_pairs(table(prepare(spark), sf_dir, "page_records"))
+
+
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of p3_found per split and source."""
+    from pagelens.llm.cross_split import overlap_report
+
+    return overlap_report(table(prepare(spark), sf_dir, "page_records"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of regions whose texts look the same but have different characters."""
     from pagelens.llm.confusables import look_alike_pairs, look_digests
@@ -62,7 +76,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_split": p2_split, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p2_found": p2_found, "p2_split": p2_split, "p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
