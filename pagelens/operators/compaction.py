@@ -188,3 +188,87 @@ def consolidate(listing: DataFrame, limits: DataFrame, source: str, target: str)
             out.write((json.dumps(json.loads(row.j), ensure_ascii=False) + "\n").encode())
     dst.move(temporary, f"{root}/_pack_manifest.json")
     return spark.read.schema(manifest.schema).json(f"{target}/_pack_manifest.json")
+
+
+def shard_plan(files: DataFrame, limit: int) -> DataFrame:
+    """(dir, file_name, shard): files of a dir in order of names, ``limit`` to a shard, numbered from 0.
+
+    ``files`` has distinct (dir, file_name).  Dirs may be of any size; numbering needs no task that sees a whole dir.
+    """
+    from pagelens.operators.ordinal import row_numbers
+
+    numbered = row_numbers(require(files, "dir", "file_name"), ["dir"], [F.col("file_name")])
+    shard = F.floor((F.col("rn") - 1) / F.lit(limit)).cast("int")
+    return numbered.select("dir", "file_name", F.format_string("shard-%05d.tar", shard).alias("shard"))
+
+
+def dir_counts(files: DataFrame) -> DataFrame:
+    """(dir, files): files directly in each dir, ``.`` for the top."""
+    d = F.when(F.col("dir") == "", ".").otherwise(F.col("dir"))
+    return files.groupBy(d.alias("dir")).agg(F.count("*").alias("files"))
+
+
+def overfull_dirs(files: DataFrame, limit: int = 9000) -> DataFrame:
+    """(dir, files): dirs with more files than the limit."""
+    return dir_counts(files).where(F.col("files") > limit)
+
+
+def check_layout(files: DataFrame, limit: int = 9000) -> None:
+    """Raise if a dir is overfull, naming the fullest (ties: the first by name)."""
+    worst = overfull_dirs(files, limit).orderBy(F.col("files").desc(), "dir").first()
+    if worst:
+        raise ValueError(f"{worst.dir!r} contains {worst.files} files (limit {limit})")
+
+
+def manifest_totals(manifest: DataFrame) -> DataFrame:
+    """(export_id, dirs, shards, files): totals of each export's newest manifest."""
+    d = newest_manifest(manifest).select("export_id", F.explode("packed_dirs").alias("d"))
+    return d.groupBy("export_id").agg(F.count("*").alias("dirs"), F.sum(F.size("d.shards")).alias("shards"), F.sum("d.file_count").alias("files"))
+
+
+def folder_stats(files: DataFrame) -> DataFrame:
+    """One row: number of files and their bytes."""
+    return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes"))
+
+
+def top_level_paths(files: DataFrame, path: str = "path") -> DataFrame:
+    """(name, is_folder): distinct first parts of paths, ``.gitattributes`` left out."""
+    p = F.col(path)
+    return files.where(p != ".gitattributes").select(F.split(p, "/")[0].alias("name"), p.contains("/").alias("is_folder")).distinct()
+
+
+def _unpacker(source: str, target: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import tarfile
+
+        from pyarrow import fs
+
+        src, src_root = fs.FileSystem.from_uri(source)
+        dst, dst_root = fs.FileSystem.from_uri(target)
+        for batch in batches:
+            out = {"export_id": [], "dir": [], "file_name": [], "size_bytes": []}
+            for row in batch.to_pylist():
+                place = "/".join(x for x in (str(row["export_id"]), row["dir"]) if x)
+                with src.open_input_stream(f"{src_root}/{place}/{row['shard']}") as data, tarfile.open(fileobj=data, mode="r|") as tar:
+                    for member in tar:
+                        if not member.isfile() or member.name.startswith("/") or ".." in member.name.split("/"):
+                            raise ValueError(f"unsafe member {member.name!r} in {row['shard']}")
+                        full = f"{dst_root}/{place}/{member.name}"
+                        dst.create_dir(full.rsplit("/", 1)[0], recursive=True)
+                        content = tar.extractfile(member)
+                        with dst.open_output_stream(full) as f:
+                            while chunk := content.read(WRITE_BYTES):
+                                f.write(chunk)
+                        for c, v in zip(out, (row["export_id"], row["dir"], member.name, member.size)):
+                            out[c].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("export_id", pa.int64()), ("dir", pa.string()), ("file_name", pa.string()), ("size_bytes", pa.int64())]))
+
+    return run
+
+
+def unpack(manifest: DataFrame, source: str, target: str) -> DataFrame:
+    """(export_id, dir, file_name, size_bytes): files restored from the shards that the manifest names, a task a shard.
+
+    A missing shard fails the query.
+    """
+    return named_shards(manifest).mapInArrow(_unpacker(source, target), "export_id bigint, dir string, file_name string, size_bytes bigint")
