@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -27,25 +28,33 @@ FOLDED, FOLD = "—–«»“”copx", '--""""сорх'
 _ON, _OFF = "\x01", "\x02"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that stands several times in it; the value's expression stands once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _indices(t: Column, digits: str, mark: str) -> Column:
     """Runs of raised or lowered digits after a letter as plain digits behind ``mark``."""
-    marked = F.regexp_replace(t, f"([{LETTERS}])([{digits}]+)", f"$1{mark}{_ON}$2{_OFF}".replace("^", "\\^"))
-    pieces = F.split(marked, _ON)
+    marked = F.regexp_replace(t, f"([{LETTERS}])([{digits}]+)", f"$1{mark}{_ON}$2{_OFF}")
 
-    def plain(piece: Column, i: Column) -> Column:
+    def plain(piece: Column) -> Column:
         at = F.instr(piece, _OFF)
-        return F.when(at == 0, piece).otherwise(F.concat(F.translate(F.substring(piece, F.lit(1), at - 1), digits, DIGITS), F.substr(piece, at + 1)))
+        return F.when(at == 0, piece).otherwise(F.concat(F.translate(F.substr(piece, F.lit(1), at - 1), digits, DIGITS), F.substr(piece, at + 1)))
+
+    return F.array_join(F.transform(F.split(marked, _ON), plain), "")
 
-    return F.when(t.rlike(f"[{LETTERS}][{digits}]"), F.array_join(F.transform(pieces, plain), "")).otherwise(t)
+
+def _unwrap(t: Column, command: str) -> Column:
+    """Without a wrapper's command and braces, until none is left: a pass removes one or more, so their number bounds the passes."""
+    pattern = rf"\\{command}(?U)\s*(?-U)\{{([^{{}}]*)\}}"
+    passes = lambda x: F.sequence(F.lit(1), F.regexp_count(x, F.lit(rf"\\{command}")))
+    return let(t, lambda x: F.when(F.contains(x, F.lit(f"\\{command}")), F.aggregate(passes(x), x, lambda a, _: F.regexp_replace(a, pattern, "$1"))).otherwise(x))
 
 
 def _latex(t: Column) -> Column:
     t = F.regexp_replace(t, r"\\xrightarrow(?:\[[^\]]*\])?\{[^{}]*\}", "→")
     t = F.regexp_replace(t, r"\\xleftarrow(?:\[[^\]]*\])?\{[^{}]*\}", "←")
-    for c in WRAPPERS:  # a pass removes at least one wrapper, so their number bounds the passes
-        pattern = rf"\\{c}(?U)\s*(?-U)\{{([^{{}}]*)\}}"
-        passes = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(t, F.lit(rf"\\{c}"))))
-        t = F.when(F.contains(t, F.lit(f"\\{c}")), F.aggregate(passes, t, lambda a, _, p=pattern: F.regexp_replace(a, p, "$1"))).otherwise(t)
+    t = reduce(_unwrap, WRAPPERS, t)
     t = F.regexp_replace(t, r"\\(?:over|under)set\{[^{}]*\}\{([^{}]*)\}", "$1")
     t = F.regexp_replace(t, rf"(?U)\\(?:{SIZES})\b", "")
     t = F.regexp_replace(t, r"\\(?:hline|cline\{[^{}]*\}|phantom\{[^{}]*\})", "")
@@ -63,10 +72,10 @@ def normalize_text(text: Column) -> Column:
     t = F.coalesce(text.cast("string"), F.lit(""))
     t = F.regexp_replace(t, r"(?d)~~.*?~~\{(.*?)\}", "$1")
     t = F.regexp_replace(t, r"(?d)~~(.*?)~~", "$1")
-    t = F.when(F.contains(t, F.lit("\\")), _latex(t)).otherwise(t)
+    t = let(t, lambda x: F.when(F.contains(x, F.lit("\\")), _latex(x)).otherwise(x))
     t = F.regexp_replace(t, rf"([{LETTERS}0-9])_\{{([^{{}}]+)\}}", "$1_$2")
     t = F.regexp_replace(t, rf"([{LETTERS}0-9])\^\{{([^{{}}]+)\}}", "$1^$2")
-    t = _indices(_indices(t, SUPERSCRIPTS, "^"), SUBSCRIPTS, "_")
+    t = let(t, lambda x: F.when(x.rlike(f"[{SUPERSCRIPTS}{SUBSCRIPTS}]"), _indices(_indices(x, SUPERSCRIPTS, "^"), SUBSCRIPTS, "_")).otherwise(x))
     t = F.replace(t, F.lit("''"), F.lit("'"))
     t = F.translate(t, FOLDED, FOLD)
     return F.trim(F.regexp_replace(t, r"(?U)[\s\x1c-\x1f]+", " "))
@@ -93,9 +102,14 @@ def stem(name: Column) -> Column:
 
 
 def format_bytes(n: Column) -> Column:
-    """Bytes for people, in decimal units."""
-    by = lambda d, f, u: F.concat(F.format_string(f, n / F.lit(float(d))), F.lit(u))
-    return F.when(n >= 10**9, by(10**9, "%.2f", " GB")).when(n >= 10**6, by(10**6, "%.1f", " MB")).otherwise(by(10**3, "%.1f", " KB"))
+    """Bytes for people, in decimal units; rounded as whole numbers, halves up."""
+
+    def by(unit: int, digits: int, name: str) -> Column:
+        step = unit // 10**digits
+        k = F.floor((n + F.lit(step // 2)) / F.lit(step)).cast("bigint")
+        return F.format_string(f"%d.%0{digits}d {name}", F.floor(k / F.lit(10**digits)), k % 10**digits)
+
+    return F.when(n >= 10**9, by(10**9, 2, "GB")).when(n >= 10**6, by(10**6, 1, "MB")).otherwise(by(10**3, 1, "KB"))
 
 
 def mask_labels(ids: Column, prompt_length: Column, pad: Column) -> Column:
