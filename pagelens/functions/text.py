@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagelens.functions.binding import let
+
 # Wrappers that are removed around their content, in this order.
 WRAPPERS = ["mathrm", "mathbf", "mathit", "mathbb", "mathcal", "mathfrak", "operatorname", "boldsymbol", "underline", "cancel"]
 # Symbols, replaced one after the other in this order.
@@ -28,11 +29,6 @@ FOLDED, FOLD = "—–«»“”copx", '--""""сорх'
 _ON, _OFF = "\x01", "\x02"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that stands several times in it; the value's expression stands once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _indices(t: Column, digits: str, mark: str) -> Column:
     """Runs of raised or lowered digits after a letter as plain digits behind ``mark``."""
     marked = F.regexp_replace(t, f"([{LETTERS}])([{digits}]+)", f"$1{mark}{_ON}$2{_OFF}")

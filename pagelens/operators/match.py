@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelens.constants import DEFAULT_IOU, EMPTY_TEXT_TYPES, REGION_STRUCT, TRANSCRIBED_TYPES
+from pagelens.functions.binding import let
 from pagelens.functions.geometry import bbox_iou, in_reading_order, iou
 from pagelens.functions.text import base_name
 from pagelens.operators.pages import last_wins
@@ -62,20 +63,25 @@ def merge_regions(page: Column, detector: Column, threshold: float = DEFAULT_IOU
             lambda o: (o["s"] >= threshold) & (o["type"] == r["type"]) & ~F.array_contains(acc["used"], o["i"]),
         )
         best = F.array_max(F.transform(options, lambda o: F.struct(o["s"].alias("s"), o["i"].alias("i"))))["i"]
-        d = F.get(detector, best)
+        return let(F.struct(best.alias("i"), F.get(detector, best).alias("d")), lambda m: taken(acc, r, m))
+
+    def taken(acc: Column, r: Column, m: Column) -> Column:
+        found, d = m["i"].isNotNull(), m["d"]
         merged = F.struct(
             r["bbox"].alias("bbox"), r["type"].alias("type"),
-            F.when(best.isNotNull() & (F.coalesce(r["text"], F.lit("")) == ""), d["text"]).otherwise(r["text"]).alias("text"),
+            F.when(found & (F.coalesce(r["text"], F.lit("")) == ""), d["text"]).otherwise(r["text"]).alias("text"),
             r["language"].alias("language"), r["legibility"].alias("legibility"),
-            F.when(best.isNotNull() & (F.coalesce(r["confidence"], F.lit(0.0)) == 0.0), d["confidence"]).otherwise(r["confidence"]).alias("confidence"),
+            F.when(found & (F.coalesce(r["confidence"], F.lit(0.0)) == 0.0), d["confidence"]).otherwise(r["confidence"]).alias("confidence"),
         ).cast(REGION_STRUCT)
-        used = F.when(best.isNotNull(), F.concat(acc["used"], F.array(best))).otherwise(acc["used"])
+        used = F.when(found, F.concat(acc["used"], F.array(m["i"]))).otherwise(acc["used"])
         return F.struct(used.alias("used"), F.concat(acc["out"], F.array(merged)).alias("out"))
 
+    def completed(f: Column) -> Column:
+        rest = F.filter(F.transform(detector, lambda d, i: F.struct(i.alias("i"), d.alias("d"))), lambda x: ~F.array_contains(f["used"], x["i"]))
+        return F.concat(f["out"], F.transform(rest, lambda x: x["d"]))
+
     start = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast(f"array<{REGION_STRUCT}>").alias("out"))
-    folded = F.aggregate(page, start, step)
-    rest = F.filter(F.transform(detector, lambda d, i: F.struct(i.alias("i"), d.alias("d"))), lambda x: ~F.array_contains(folded["used"], x["i"]))
-    return F.concat(folded["out"], F.transform(rest, lambda x: x["d"]))
+    return let(F.aggregate(page, start, step), completed)
 
 
 def band_regions(lines: Column, width: Column, height: Column) -> Column:
@@ -104,12 +110,16 @@ def assign_lines(regions: Column, lines: Column, width: Column, height: Column)
     Regions without a line keep their text; lines without a region become bands counted from the page's top;
     images and graphs get empty text.  The result is in reading order.
     """
-    ordered = in_reading_order(F.filter(regions, lambda r: r["type"].isin(TRANSCRIBED_TYPES)))
-    zipped = F.transform(ordered, lambda r, i: _with_text(r, F.when(i < F.size(lines), F.get(lines, i)).otherwise(r["text"])))
-    n, k = F.size(ordered), F.size(lines)
-    left = F.when(k > n, F.slice(lines, n + 1, F.greatest(k - n, F.lit(0)))).otherwise(F.array().cast("array<string>"))
     structural = F.transform(F.filter(regions, lambda r: r["type"].isin(EMPTY_TEXT_TYPES)), lambda r: _with_text(r, F.lit("")))
-    return in_reading_order(F.concat(zipped, band_regions(left, width, height), structural))
+
+    def zipped(ordered: Column) -> Column:
+        with_lines = F.transform(ordered, lambda r, i: _with_text(r, F.when(i < F.size(lines), F.get(lines, i)).otherwise(r["text"])))
+        n, k = F.size(ordered), F.size(lines)
+        left = F.when(k > n, F.slice(lines, n + 1, F.greatest(k - n, F.lit(0)))).otherwise(F.array().cast("array<string>"))
+        return F.concat(with_lines, let(left, lambda x: band_regions(x, width, height)), structural)
+
+    ordered = in_reading_order(F.filter(regions, lambda r: r["type"].isin(TRANSCRIBED_TYPES)))
+    return in_reading_order(let(ordered, zipped))
 
 
 def finalize_regions(regions: Column, width: Column, height: Column) -> Column:
