@@ -166,7 +166,6 @@ def consolidate(listing: DataFrame, limits: DataFrame, source: str, target: str)
     """
     from pyarrow import fs
 
-    spark = listing.sparkSession
     files = loose_files(listing)
     plan = stage(plan_shards(files, limits), "shard-plan")
     groups = plan.groupBy("export_id", "dir", "shard").agg(F.collect_list("file_name").alias("names"))  # at most a shard's files
@@ -187,7 +186,7 @@ def consolidate(listing: DataFrame, limits: DataFrame, source: str, target: str)
         for row in manifest.select(F.to_json(F.struct(*manifest.columns)).alias("j")).toLocalIterator():
             out.write((json.dumps(json.loads(row.j), ensure_ascii=False) + "\n").encode())
     dst.move(temporary, f"{root}/_pack_manifest.json")
-    return spark.read.schema(manifest.schema).json(f"{target}/_pack_manifest.json")
+    return manifest
 
 
 def shard_plan(files: DataFrame, limit: int) -> DataFrame:

@@ -134,10 +134,11 @@ def stratified_split(rows: DataFrame, key: str, fraction: float, seed: int, held
     """
     source = F.coalesce(full(F.col("source")), F.lit("unknown"))
     r = rows.select(F.col(key), source.alias("source")).distinct()
-    n = r.groupBy("source").agg(F.count("*").alias("n"))
-    size = n.select("source", F.when(F.col("n") > 1, F.greatest(F.lit(1), F.rint(F.col("n") * F.lit(fraction)).cast("bigint"))).otherwise(0).alias("k"))
-    ranked = row_numbers(r, ["source"], [hash_order(seed, F.col(key)), F.col(key).cast("string")])
-    return ranked.join(size, "source").select(key, "source", F.when(F.col("rn") <= F.col("k"), held).otherwise(rest).alias("split"))
+    n = r.groupBy("source").agg(F.count("*").alias("__n"))
+    some = F.greatest(F.lit(1), F.rint(F.col("__n") * F.lit(fraction)).cast("bigint"))
+    size = n.select("source", F.when(F.col("__n") > 1, some).otherwise(0).alias("__held"))
+    ranked = row_numbers(r, ["source"], [hash_order(seed, F.col(key)), F.col(key).cast("string")], "__rn")
+    return ranked.join(size, "source").select(key, "source", F.when(F.col("__rn") <= F.col("__held"), held).otherwise(rest).alias("split"))
 
 
 def split_assignments(curated: DataFrame, fraction: float = 0.15, seed: int = 42) -> DataFrame:

@@ -33,14 +33,14 @@ def weighted_sample(rows: DataFrame, key: str, weight: str, seed: int, draws: in
     """
     spark = rows.sparkSession
     w = F.round(sample_weight(F.col(weight)) * F.lit(UNIT)).cast("bigint")
-    line = stage(running(rows.select(key, w.alias("w")), [], [F.col(key)], F.col("w"), "hi").select(key, (F.col("hi") - F.col("w")).alias("lo"), "hi"), "sample-line")
-    stats = line.agg(F.max("hi").alias("total"), F.count("*").alias("n")).first()
+    line = stage(running(rows.select(key, w.alias("__w")), [], [F.col(key)], F.col("__w"), "__hi").select(key, (F.col("__hi") - F.col("__w")).alias("__lo"), "__hi"), "sample-line")
+    stats = line.agg(F.max("__hi").alias("total"), F.count("*").alias("n")).first()
     if not stats.n:
         return line.select(key, F.lit(0).cast("bigint").alias("draws"))
     n = stats.n if draws is None else draws
     width = max(1, stats.total // max(1, stats.n))
     at = F.floor(uniform(seed, F.col("id")) * F.lit(float(stats.total))).cast("bigint")
-    drawn = spark.range(n).select(at.alias("at")).withColumn("bin", F.floor(F.col("at") / F.lit(width)).cast("bigint"))
-    bins = F.sequence(F.floor(F.col("lo") / F.lit(width)).cast("bigint"), F.floor((F.col("hi") - 1) / F.lit(width)).cast("bigint"))
-    placed = line.withColumn("bin", F.explode(bins))
-    return placed.join(drawn, "bin").where("at >= lo AND at < hi").groupBy(key).agg(F.count("*").alias("draws"))
+    drawn = spark.range(n).select(at.alias("__at")).withColumn("__bin", F.floor(F.col("__at") / F.lit(width)).cast("bigint"))
+    bins = F.sequence(F.floor(F.col("__lo") / F.lit(width)).cast("bigint"), F.floor((F.col("__hi") - 1) / F.lit(width)).cast("bigint"))
+    placed = line.withColumn("__bin", F.explode(bins))
+    return placed.join(drawn, "__bin").where("__at >= __lo AND __at < __hi").groupBy(key).agg(F.count("*").alias("draws"))
