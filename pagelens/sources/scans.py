@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,10 +64,30 @@ def read_submission(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("_ord", F.monotonically_increasing_id())
 
 
+def _lister(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    for batch in batches:
+        for uri in batch.column(0).to_pylist():
+            system, root = fs.FileSystem.from_uri(uri)
+            found = [f for f in system.get_file_info(fs.FileSelector(root, recursive=True)) if f.type == fs.FileType.File]
+            paths = [f"{uri}/{f.path[len(root) + 1 :]}" for f in found]
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array([f.size for f in found], pa.int64())], names=["path", "size_bytes"])
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, size_bytes) of all files below a folder; contents aren't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.select("path", F.col("length").alias("size_bytes"))
+    """(path, size_bytes) of all files below a folder URI, empty ones too; contents aren't read.
+
+    The driver lists the top level only; each folder on it is listed by a task.
+    """
+    from pyarrow import fs
+
+    system, top = fs.FileSystem.from_uri(root)
+    entries = system.get_file_info(fs.FileSelector(top))
+    own = [(f"{root}/{e.base_name}", e.size) for e in entries if e.type == fs.FileType.File]
+    folders = [(f"{root}/{e.base_name}",) for e in entries if e.type == fs.FileType.Directory]
+    inner = spark.createDataFrame(folders, "uri string").repartition(max(1, len(folders)))
+    return spark.createDataFrame(own, "path string, size_bytes bigint").union(inner.mapInArrow(_lister, "path string, size_bytes bigint"))
 
 
 def val_pages(pages: DataFrame, assignments: DataFrame) -> DataFrame:
