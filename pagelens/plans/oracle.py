@@ -172,6 +172,20 @@ LINES = f"""{CLAMPED},
 own AS (SELECT page_id, pos, band, x1, {strip('text')} AS line FROM clean WHERE type IN {isin(C.TRANSCRIBED_TYPES)} AND language = 'uk' AND legibility = 'legible')"""
 
 
+# Regions of page_raw: lists are followed level by level; a list may be JSON text.
+NESTED = """WITH RECURSIVE valid AS (
+  SELECT page_id, payload::JSON AS p FROM page_raw WHERE page_id IS NOT NULL AND json_valid(payload)
+  QUALIFY json_type(payload) = 'OBJECT' AND row_number() OVER (PARTITION BY page_id, json_type(payload) = 'OBJECT' ORDER BY received_at DESC, raw_id DESC) = 1),
+tops AS (SELECT page_id, CASE WHEN json_type(p, '$.page') = 'OBJECT' THEN json_extract(p, '$.page.regions') ELSE json_extract(p, '$.regions') END AS r FROM valid),
+read_ AS (SELECT page_id, CASE WHEN json_type(r) = 'VARCHAR' AND json_valid(r->>'$') THEN (r->>'$')::JSON ELSE r END AS r FROM tops),
+found AS (
+  SELECT page_id, i::VARCHAR AS region_path, o FROM (SELECT page_id, unnest(range(json_array_length(r)::BIGINT)) AS i, unnest(json_extract(r, '$[*]')) AS o FROM read_ WHERE json_type(r) = 'ARRAY') WHERE json_type(o) = 'OBJECT'
+  UNION ALL
+  SELECT page_id, region_path || '/' || i, o FROM (
+    SELECT page_id, region_path, unnest(range(json_array_length(r)::BIGINT)) AS i, unnest(json_extract(r, '$[*]')) AS o FROM (SELECT page_id, region_path, json_extract(o, '$.regions') AS r FROM found) WHERE json_type(r) = 'ARRAY') WHERE json_type(o) = 'OBJECT')
+SELECT page_id, region_path FROM found"""
+
+
 def oracle_sql() -> dict[str, str]:
     transcribed = f"type IN {isin(C.TRANSCRIBED_TYPES)}"
     region_id = "printf('%s:%s:%04d', split, stem, idx)"
@@ -188,6 +202,7 @@ def oracle_sql() -> dict[str, str]:
       UNION ALL SELECT page_id, 'extra ' || e, 1000 + e FROM pages, range(1, 3) r(e) WHERE page_id % 3 >= e),
     lines AS (SELECT page_id, line, row_number() OVER (PARTITION BY page_id ORDER BY k) AS k, count(*) OVER (PARTITION BY page_id) AS n FROM lines1 WHERE page_id % 5 <> 0 OR k > 1)"""
     return {
+        "p1_found": NESTED,
         "normalize_pages": f"WITH {PAGES} SELECT page_id, file_name, image_name, image_width, image_height, source, split, len(rs) AS n_regions FROM pages",
         "predictions_last_wins": """WITH named AS (SELECT *, coalesce(nullif(file_name, ''), nullif(image.path, ''), image.src) AS name FROM page_records)
           SELECT split_part(name, '/', -1) AS image, max(row_id) AS row_id, arg_max(page_id, row_id) AS page_id FROM named WHERE name IS NOT NULL GROUP BY ALL""",
