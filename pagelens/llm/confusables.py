@@ -56,6 +56,8 @@ def _general() -> dict[int, str | None]:
         kind = unicodedata.category(c)
         if kind == "Zs" or c == "\t":
             out[o] = " "
+        elif o in (0x2010, 0x2011):  # hyphens drawn as the usual one
+            out[o] = "-"
         elif kind in ("Zl", "Zp") or c in "\x0b\x0c\x85":
             out[o] = "\n"
         elif kind == "Cf" and c != ZWJ or o in _BLANK:

@@ -79,5 +79,45 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"p2_found": p2_found, "p2_split": p2_split, "p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 
 
+P2_FOUND_SQL = r"""
+WITH RECURSIVE p AS (
+  SELECT page_id, CASE WHEN lower(split) IN ('train', 'silver') THEN 1 WHEN lower(split) = 'val' THEN 2 WHEN lower(split) = 'test' THEN 3 END AS side,
+    'w:' || nullif(regexp_extract(coalesce(writer_ref, ''), '0*([0-9]+)', 1), '') AS w,
+    'b:' || nullif(regexp_extract(lower(url_decode(split_part(coalesce(nullif(file_name, ''), nullif(image.path, ''), nullif(image.src, '')), '/', -1))), '(^|[^\p{L}])nb[^0-9\p{L}]*0*([0-9]+)', 2), '') || ':' || coalesce(nullif(source, ''), 'unknown') AS b
+  FROM page_records WHERE page_id IS NOT NULL),
+k AS (SELECT page_id, side, coalesce(w, b, 'p:' || page_id) AS key FROM p),
+e AS (SELECT DISTINCT w AS x, b AS y FROM p WHERE w IS NOT NULL AND b IS NOT NULL UNION SELECT b, w FROM p WHERE w IS NOT NULL AND b IS NOT NULL),
+reach AS (SELECT DISTINCT key AS v, key AS r FROM k UNION SELECT reach.v, e.y FROM reach JOIN e ON reach.r = e.x),
+family AS (SELECT v, min(r) AS family FROM reach GROUP BY v),
+f AS (SELECT page_id, side, family FROM k JOIN family ON k.key = family.v)
+SELECT DISTINCT page_id FROM f WHERE family IN (SELECT family FROM f GROUP BY family HAVING min(side) < max(side))
+"""
+
+
+def _look_sql() -> str:
+    """Shapes letter by letter: the same classes as the script sets give, since those depend on the shape only."""
+    from pagelens.llm.confusables import SHAPES
+
+    shapes = [("".join(c for c in s[1:] if c != "."), s[0]) for s in SHAPES if s[0] != "."]
+    frm, to = "".join(a for a, _ in shapes), "".join(b * len(a) for a, b in shapes)
+    wide = "".join(map(chr, range(0xFF01, 0xFF5F)))
+    plain = "".join(map(chr, range(0x21, 0x7F))).replace("'", "''")
+    t = "regexp_replace(text, '[\\x{ad}\\x{34f}\\x{200b}-\\x{200f}\\x{2060}-\\x{2064}\\x{feff}]', '', 'g')"
+    t = f"translate({t}, '{wide}', '{plain}')"
+    t = f"regexp_replace({t}, '[\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{202f}}\\x{{205f}}\\x{{3000}}\\t]', ' ', 'g')"
+    t = f"translate({t}, '{frm}', '{to}')"  # marks stay behind their letters
+    t = f"translate(nfc_normalize({t}), 'ёЁїЇ', 'ëËïÏ')"
+    return f"trim({t})"
+
+
+def _p4_sql() -> str:
+    return f"""
+WITH last_ AS (SELECT region_key, text FROM region_rows WHERE region_key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY region_key ORDER BY exported_at DESC NULLS LAST) = 1),
+looks AS (SELECT region_key, text, {_look_sql()} AS look FROM last_ WHERE text IS NOT NULL)
+SELECT least(a.region_key, b.region_key) AS region_a, greatest(a.region_key, b.region_key) AS region_b
+FROM looks a JOIN looks b ON a.look = b.look AND a.text < b.text WHERE a.look <> ''
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p2_found": P2_FOUND_SQL, "p4_found": _p4_sql()}
