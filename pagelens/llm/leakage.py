@@ -42,7 +42,7 @@ PASSAGE = 12
 SLIPS = 2
 #: Words in a block; PASSAGE words with SLIPS slips hold one untouched block for any cut into blocks.
 BLOCK = 3
-#: Item words broadcast at a time; more items go in several rounds.
+#: Words of items that are broadcast at a time; more items go in several rounds.
 ROUND_WORDS = 2_000_000
 
 
@@ -223,28 +223,37 @@ def _matcher(query):  # a Broadcast of Query
 def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id): documents with the items whose text, or a passage of PASSAGE words of it, they hold.
 
-    The items are the stated query set.  They go to all executors in rounds of at most ROUND_WORDS
-    words, so what is broadcast has a bound whatever their number.
+    The items are the stated query set.  They go in rounds of at most ROUND_WORDS words, each with a vocabulary and
+    an index of its own, so what is broadcast has a bound whatever their number; a usual evaluation set is one round.
     """
-    spark = docs.sparkSession
     slim = require(items, item_id, item_text).select(F.col(item_id).cast("bigint"), F.col(item_text).cast("string")).where(f"`{item_id}` IS NOT NULL AND `{item_text}` IS NOT NULL").distinct()
-    vocabulary: dict[str, int] = {}
-    rounds: list[list[tuple[int, list[int]]]] = [[]]
-    size = 0
-    for i, text in slim.toLocalIterator():
-        t = [vocabulary.setdefault(w, len(vocabulary)) for w in words(text)]
-        if not t:
-            continue
-        if size + len(t) > ROUND_WORDS and rounds[-1]:
-            rounds.append([])
-            size = 0
-        rounds[-1].append((i, t))
-        size += len(t)
-    index = build_index(docs, vocabulary, doc_id, doc_text)
-    df = {r.term: r.n for r in index.select(F.explode(F.arrays_zip("terms", "df")).alias("x")).groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.df").alias("n")).collect()}  # one row a term of the items
     out = None
-    for r in rounds:
-        query = spark.sparkContext.broadcast(Query(r, df))
-        found = index.select("docs", "starts", "terms", "ends", "positions").mapInArrow(_matcher(query), "doc_id bigint, item_id bigint")
-        out = found if out is None else out.unionByName(found)
+    for part in _rounds(slim.toLocalIterator()):
+        found = _leaked_round(docs, part, doc_id, doc_text)
+        out = found if out is None else stage(out, "leak-found").unionByName(stage(found, "leak-found"))
     return out.distinct()
+
+
+def _rounds(rows: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, list[str]]]]:
+    """Items as words, in lists of at most ROUND_WORDS words or a single item; at least one list."""
+    part, size = [], 0
+    for i, text in rows:
+        t = words(text)
+        if part and size + len(t) > ROUND_WORDS:
+            yield part
+            part, size = [], 0
+        if t:
+            part.append((i, t))
+            size += len(t)
+    yield part
+
+
+def _leaked_round(docs: DataFrame, items: list[tuple[int, list[str]]], doc_id: str, doc_text: str) -> DataFrame:
+    context = docs.sparkSession.sparkContext
+    vocabulary: dict[str, int] = {}
+    coded = [(i, [vocabulary.setdefault(w, len(vocabulary)) for w in t]) for i, t in items]
+    index = build_index(docs, vocabulary, doc_id, doc_text)
+    counts = index.select(F.explode(F.arrays_zip("terms", "df")).alias("x")).groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.df").alias("n"))
+    df = {r.term: r.n for r in counts.collect()}  # a row for each word of the round's items
+    query = context.broadcast(Query(coded, df))
+    return index.select("docs", "starts", "terms", "ends", "positions").mapInArrow(_matcher(query), "doc_id bigint, item_id bigint")
