@@ -33,7 +33,7 @@ def curate(spark: SparkSession, a: argparse.Namespace, config: dict) -> dict:
     from pagelens.operators import curate as C
     from pagelens.session import stage
     from pagelens.sources.scans import read_available
-    from pagelens.sources.sinks import label_files, put_texts, write_jsonl
+    from pagelens.sources.sinks import dataset_card, label_files, put_texts, write_jsonl
 
     c = dig(config, "curation", default={})
     raw, out = _uri(a.raw_dir), _uri(a.output_dir)
@@ -48,7 +48,10 @@ def curate(spark: SparkSession, a: argparse.Namespace, config: dict) -> dict:
     write_jsonl(assigned, f"{out}/yolo/split_assignments.jsonl")
     put_texts(label_files(pages, assigned), f"{out}/yolo").write.format("noop").mode("overwrite").save()
     put_texts(spark.createDataFrame([("data.yaml", C.data_yaml(f"{out}/yolo"))], "path string, content string"), f"{out}/yolo").write.format("noop").mode("overwrite").save()
-    return C.curation_stats(pages, crops).first().asDict()
+    stats = C.curation_stats(pages, crops).first()
+    card = dataset_card(stats, C.source_counts(pages), C.region_type_counts(pages))
+    put_texts(spark.createDataFrame([("README.md", card)], "path string, content string"), out).write.format("noop").mode("overwrite").save()
+    return stats.asDict()
 
 
 def evaluate(spark: SparkSession, a: argparse.Namespace, config: dict) -> dict:

@@ -103,3 +103,15 @@ def checkpoint_in(folder: str) -> str:
     if not found:
         raise FileNotFoundError(f"no checkpoint under {folder}")
     return found[0]
+
+
+def resolve_repo(own: str | None, variables: list[str], template: str, config: Mapping[str, Any], keys: list[str], default: str | None = None, namespace: str = "HF_NAMESPACE") -> str | None:
+    """A repository's id: the caller's, else the first set variable, else the template in the namespace, else the configuration's, else the default."""
+    space = os.environ.get(namespace)
+    return (
+        own
+        or next((os.environ[v] for v in variables if os.environ.get(v)), None)
+        or (template.format(namespace=space) if space else None)
+        or next((config[k] for k in keys if config.get(k)), None)
+        or default
+    )

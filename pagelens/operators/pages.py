@@ -96,6 +96,17 @@ def boxed(regions: Column) -> Column:
     return F.filter(regions, lambda r: (F.size(r["bbox"]) == 4) & ~F.exists(r["bbox"], lambda v: v.isNull()))
 
 
+def latest(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """Of rows with the same key the last by ``order``, which must be unique inside a key; null keys are left out.
+
+    The last order of each key is found over these columns alone and the rows are filtered by it, so columns that
+    the query doesn't need are neither read nor shuffled.
+    """
+    o = F.struct(*[F.col(c) for c in order])
+    top = df.groupBy(key).agg(F.max(o).alias("__last"))
+    return df.withColumn("__last", o).join(top, [key, "__last"], "left_semi").drop("__last")
+
+
 def last_wins(df: DataFrame, key: str, *order: str) -> DataFrame:
     """Of rows with the same key the last by ``order`` (nulls first; ties: one of them); null keys count as one key."""
     value = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in df.columns]).alias("row"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelens.constants import REGION_STRUCT
-from pagelens.operators.pages import last_wins, normalize_pages
+from pagelens.operators.pages import latest, normalize_pages
 from pagelens.session import prepare, table
 
 ROOT = "raw"
@@ -14,7 +14,7 @@ ROOT = "raw"
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_records, of a page delivered again the last delivery."""
-    return last_wins(table(prepare(spark), sf_dir, "page_records"), "page_id", "ingested_at", "row_id")
+    return latest(table(prepare(spark), sf_dir, "page_records"), "page_id", "ingested_at", "row_id")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from pagelens.functions.text import stem
 from pagelens.operators.curate import yolo_lines
 
 
+# Suffixes of image files.
+IMAGE_SUFFIXES = [".avif", ".bmp", ".dng", ".heic", ".heif", ".jp2", ".jpeg", ".jpeg2000", ".jpg", ".mpo", ".png", ".tif", ".tiff", ".webp"]
+
+
 def write_jsonl(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Overwrite a folder of JSONL: compact, UTF-8, null fields left out; ``_`` columns aren't written.
 
@@ -83,5 +87,51 @@ def has_image_suffix(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"(\.[^./]+)$", 1)).isin(IMAGE_SUFFIXES)
 
 
-# Suffixes of image files.
-IMAGE_SUFFIXES = [".avif", ".bmp", ".dng", ".heic", ".heif", ".jp2", ".jpeg", ".jpeg2000", ".jpg", ".mpo", ".png", ".tif", ".tiff", ".webp"]
+def crop_tasks(regions: DataFrame, image_root: str, target: str) -> DataFrame:
+    """(src, dst, bbox) of the crops that flat region rows name."""
+    r = regions.where(F.col("crop").isNotNull())
+    return r.select(F.concat(F.lit(f"{image_root}/"), "page_file_name").alias("src"), F.concat(F.lit(f"{target}/"), "crop").alias("dst"), "bbox")
+
+
+def crop_images(tasks: DataFrame, codec: Callable[[], Callable[[bytes, list[int]], bytes]]) -> DataFrame:
+    """Cut (src, dst, bbox) tasks out of their images; a missing source is reported as ``cropped`` false.
+
+    ``codec`` is called once in each task and returns a function from image bytes and box to the crop's bytes; no image
+    codec is bundled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        cut = codec()
+        for batch in batches:
+            done = []
+            for row in batch.to_pylist():
+                a, source = fs.FileSystem.from_uri(row["src"])
+                b, target = fs.FileSystem.from_uri(row["dst"])
+                found = a.get_file_info(source).type == fs.FileType.File
+                if found:
+                    b.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                    with a.open_input_stream(source) as x, b.open_output_stream(target) as y:
+                        y.write(cut(x.read(), row["bbox"]))
+                done.append(found)
+            yield pa.RecordBatch.from_arrays([batch.column("dst"), pa.array(done, pa.bool_())], names=["dst", "cropped"])
+
+    return tasks.select("src", "dst", "bbox").mapInArrow(run, "dst string, cropped boolean")
+
+
+def check_detector_images(files: DataFrame) -> None:
+    """Raise unless a listing (path) of a detector's training folder has a loose image; packed shards are named as the cause."""
+    name = F.element_at(F.split("path", "/"), -1)
+    n = files.agg(F.count_if(has_image_suffix(name)).alias("images"), F.count_if(name.rlike(r"^shard-.*\.tar$")).alias("shards")).first()
+    if not n.images:
+        raise ValueError("the training images are packed in shards: unpack them first" if n.shards else "there are no training images")
+
+
+def dataset_card(stats: Row, sources: DataFrame, types: DataFrame) -> str:
+    """Markdown summary of a curated dataset from its counts (tables of a row a source and a row a type)."""
+    lines = ["# Curated pages", "", "| Table | Rows |", "| --- | --- |", *[f"| {k.replace('_', ' ')} | {v} |" for k, v in stats.asDict().items()]]
+    for title, df, count in (("Sources", sources, "pages"), ("Region types", types, "regions")):
+        key = next(c for c in df.columns if c != count)
+        lines += ["", f"## {title}", "", *[f"- `{r[key]}`: {r[count]}" for r in df.orderBy(key).collect()]]
+    return "\n".join(lines) + "\n"

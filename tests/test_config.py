@@ -39,6 +39,17 @@ def test_env(tmp_path, monkeypatch):
     monkeypatch.delenv("A_X")
 
 
+def test_repo(monkeypatch):
+    for v in ("HF_NAMESPACE", "A_ID"):
+        monkeypatch.delenv(v, raising=False)
+    find = lambda own=None, config={}: C.resolve_repo(own, ["A_ID"], "{namespace}/pages", config, ["repo"], "none")  # noqa: B006, E731
+    assert (find("x"), find(), find(config={"repo": "c"})) == ("x", "none", "c")
+    monkeypatch.setenv("HF_NAMESPACE", "me")
+    assert find(config={"repo": "c"}) == "me/pages"
+    monkeypatch.setenv("A_ID", "env")
+    assert find() == "env"
+
+
 def test_checkpoint(tmp_path):
     with pytest.raises(FileNotFoundError):
         C.checkpoint_in(str(tmp_path))

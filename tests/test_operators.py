@@ -71,6 +71,25 @@ def test_scans_and_sinks(spark, raw, tmp_path):
     assert scans.list_files(spark, raw).count() >= 2
 
 
+def test_crops_and_detector_folder(spark, raw, tmp_path):
+    c = C.curate_pages(scans.read_available(spark, raw))
+    (tmp_path / "train/images").mkdir()
+    (tmp_path / "train/images/page-1.jpg").write_bytes(b"image")
+    tasks = sinks.crop_tasks(C.region_rows(c), f"{raw}/train", f"file://{tmp_path}/out")
+    both = tasks.union(tasks.select(F.lit(f"{raw}/none"), F.lit(f"{raw}/x"), "bbox"))
+    got = sinks.crop_images(both, lambda: lambda data, box: data + str(box).encode()).collect()
+    assert sorted(r.cropped for r in got) == [False, True]
+    assert (tmp_path / "out/crops/train/page-1_0000.jpg").read_bytes() == b"image[10, 20, 110, 50]"
+    files = lambda *names: spark.createDataFrame([(f"d/{n}",) for n in names], "path string")
+    sinks.check_detector_images(files("a.JPG", "shard-00000.tar"))
+    with pytest.raises(ValueError, match="unpack"):
+        sinks.check_detector_images(files("shard-00000.tar"))
+    with pytest.raises(ValueError, match="no training images"):
+        sinks.check_detector_images(files("a.txt"))
+    card = sinks.dataset_card(C.curation_stats(c).first(), C.source_counts(c), C.region_type_counts(c))
+    assert "| pages | 2 |" in card and "- `unknown`: 1" in card and "- `handwritten`: 1" in card
+
+
 @pytest.mark.parametrize(("n", "fraction", "held"), [(1, 0.5, 0), (2, 0.0, 1), (10, 0.25, 2), (14, 0.25, 4)])
 def test_split_counts(spark, n, fraction, held):
     df = spark.createDataFrame([(f"f{i}", None if i % 2 else "") for i in range(n)] * 2, "k string, source string")
