@@ -226,6 +226,10 @@ def test_copies_are_one_class(spark):
     text = [" ".join(WORDS[:12]), " ".join(WORDS[12:24])]
     rows = [(i, f"a{i}", None, "s", "train" if i < 30 else "test", None, text) for i in range(40)]
     assert cross_split_pairs(pages_of(spark, rows)).count() == 300
+    # The same words: regions in another order and cut otherwise are the same page, words in another order aren't.
+    whole = " ".join(text)
+    rows = [(1, "a", None, "s", "train", None, text), (2, "b", None, "s", "val", None, text[::-1]), (3, "c", None, "s", "val", None, [whole[:40], whole[40:]] if whole[40] == " " else [whole]), (4, "d", None, "s", "test", None, [" ".join(whole.split()[::-1])])]
+    assert {tuple(r) for r in cross_split_pairs(pages_of(spark, rows)).collect()} == {(1, 2), (1, 3)}
 
 
 # Leakage.
