@@ -54,4 +54,4 @@ def in_reading_order(regions: Column) -> Column:
     """Regions by row band and left edge; ties keep the list's order.  Regions need four coordinates."""
     keyed = F.transform(regions, lambda r, i: F.struct(reading_band(r["bbox"]).alias("b"), r["bbox"][0].alias("x"), i.alias("i"), r.alias("r")))
     # The place in the list comes before the region, so regions themselves are never compared.
-    return F.transform(F.array_sort(keyed), lambda k: k["r"])
+    return F.transform(F.sort_array(keyed), lambda k: k["r"])

@@ -171,8 +171,8 @@ def consolidate(listing: DataFrame, limits: DataFrame, source: str, target: str)
     groups = plan.groupBy("export_id", "dir", "shard").agg(F.collect_list("file_name").alias("names"))  # at most a shard's files
     ddl = "export_id bigint, dir string, shard string, member_no int, member_name string, size_bytes bigint"
     members = stage(groups.mapInArrow(_writer(source, target, uuid.uuid4().hex), ddl), "shard-members").withColumn("packed_at", F.current_timestamp())
-    dirs = members.groupBy("export_id", "dir").agg(F.array_sort(F.collect_set("shard")).alias("shards"), F.count("*").alias("file_count"))
-    manifest = dirs.groupBy("export_id").agg(F.array_sort(F.collect_list(F.struct("dir", "shards", "file_count"))).alias("packed_dirs"))
+    dirs = members.groupBy("export_id", "dir").agg(F.sort_array(F.collect_set("shard")).alias("shards"), F.count("*").alias("file_count"))
+    manifest = dirs.groupBy("export_id").agg(F.sort_array(F.collect_list(F.struct("dir", "shards", "file_count"))).alias("packed_dirs"))
     room = require(limits, "export_id", "max_files_per_shard").groupBy("export_id").agg(F.max("max_files_per_shard").alias("max_files_per_shard"))
     manifest = manifest.join(room, "export_id", "left").select("export_id", F.lit(1).alias("version"), "max_files_per_shard", "packed_dirs", F.current_timestamp().alias("written_at"))
     manifest = stage(manifest, "shard-manifest")
