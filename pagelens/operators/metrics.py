@@ -17,10 +17,16 @@ def is_scorable(r: Column) -> Column:
     return (r["language"] == "uk") & (r["legibility"] == "legible") & ~r["type"].isin(EMPTY_TEXT_TYPES)
 
 
-def page_text(regions: Column, truth: bool, normalize=normalize_text) -> Column:  # noqa: ANN001
-    """Normalised texts in reading order, joined by spaces.  Truth counts only where scorable, a prediction unless image or graph."""
+def compared(regions: Column, normalize=normalize_text) -> Column:  # noqa: ANN001
+    """Regions with four coordinates, their text in the form in which it is compared; others are rejected."""
+    one = lambda r: F.struct(*[r[c].alias(c) for c in ("bbox", "type", "language", "legibility")], normalize(r["text"]).alias("text"))
+    return F.transform(boxed(regions), one)
+
+
+def page_text(regions: Column, truth: bool) -> Column:
+    """Compared texts in reading order, joined by spaces.  Truth counts only where scorable, a prediction unless image or graph."""
     ok = is_scorable if truth else lambda r: ~r["type"].isin(EMPTY_TEXT_TYPES)
-    texts = F.transform(F.filter(in_reading_order(regions), ok), lambda r: normalize(r["text"]))
+    texts = F.transform(F.filter(in_reading_order(regions), ok), lambda r: r["text"])
     return F.array_join(F.filter(texts, lambda t: t != ""), " ")
 
 
@@ -28,23 +34,22 @@ def page_counters(truth: DataFrame, predictions: DataFrame, threshold: float = D
     """Counters of each truth page (image, source, annotation_source, tp, fp, fn, class_ok, cer_sum, cer_n, page_cer).
 
     ``truth`` has (image, source, annotation_source, regions), ``predictions`` (image, regions), each one row an image.
-    Pages without predictions or without regions count.  One join by image; all else stays in the row.
-    Regions without four coordinates are rejected.
+    Pages without predictions or without regions count.  One join by image; all else stays in the row, and each
+    region's text is normalised once.
     """
-    t = truth.select("image", "source", "annotation_source", boxed(F.col("regions")).alias("t"))
-    p = predictions.select("image", boxed(F.col("regions")).alias("p"))
+    t = truth.select("image", "source", "annotation_source", compared(F.col("regions"), normalize).alias("t"))
+    p = predictions.select("image", compared(F.col("regions"), normalize).alias("p"))
     empty = F.filter("t", lambda _: F.lit(False))
     j = t.join(p, "image", "left").withColumn("p", F.coalesce("p", empty)).withColumn("m", greedy_match(F.col("p"), F.col("t"), threshold))
-    # Matched pairs as rows of the page: texts are normalised once for each matched region.
     pairs = F.transform("m", lambda m: F.struct(F.get("p", m["p"]).alias("p"), F.get("t", m["t"]).alias("t")))
-    scored = F.transform(F.filter("pairs", lambda x: is_scorable(x["t"])), lambda x: cer(normalize(x["p"]["text"]), normalize(x["t"]["text"])))
+    scored = F.transform(F.filter("pairs", lambda x: is_scorable(x["t"])), lambda x: cer(x["p"]["text"], x["t"]["text"]))
     n = F.size("m")
     return j.withColumn("pairs", pairs).withColumn("scored", scored).select(
         "image", "source", "annotation_source",
         n.cast("bigint").alias("tp"), (F.size("p") - n).cast("bigint").alias("fp"), (F.size("t") - n).cast("bigint").alias("fn"),
         F.size(F.filter("pairs", lambda x: x["p"]["type"] == x["t"]["type"])).cast("bigint").alias("class_ok"),
         F.aggregate("scored", F.lit(0.0), lambda a, x: a + x).alias("cer_sum"), F.size("scored").cast("bigint").alias("cer_n"),
-        cer(page_text(F.col("p"), False, normalize), page_text(F.col("t"), True, normalize)).alias("page_cer"),
+        cer(page_text(F.col("p"), False), page_text(F.col("t"), True)).alias("page_cer"),
     )
 
 
