@@ -37,6 +37,9 @@ def page_counters(truth: DataFrame, predictions: DataFrame, threshold: float = D
     Pages without predictions or without regions count.  One join by image; all else stays in the row, and each
     region's text is normalised once.
     """
+    # Both sides are partitioned by image before the work of normalising, which the join then needs anyway; a
+    # scan of a few large files would otherwise do that work in as few tasks.
+    truth, predictions = truth.repartition("image"), predictions.repartition("image")
     t = truth.select("image", "source", "annotation_source", compared(F.col("regions"), normalize).alias("t"))
     p = predictions.select("image", compared(F.col("regions"), normalize).alias("p"))
     empty = F.filter("t", lambda _: F.lit(False))

@@ -257,8 +257,8 @@ def weighted_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _both(spark: SparkSession, d: str) -> DataFrame:
-    t = A.truth(spark, d).select("image", "page_id", pg.boxed(F.col("regions")).alias("t"))
-    return t.join(A.predictions(spark, d).withColumnRenamed("regions", "p"), "image")
+    t = A.truth(spark, d).repartition("image").select("image", "page_id", pg.boxed(F.col("regions")).alias("t"))
+    return t.join(A.predictions(spark, d).repartition("image").withColumnRenamed("regions", "p"), "image")
 
 
 @query
