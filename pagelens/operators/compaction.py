@@ -127,9 +127,8 @@ def repack(listing: DataFrame, manifest: DataFrame, bucket_files: int = BUCKET_F
     return plan_shards(loose_files(listing), newest_manifest(manifest).select("export_id", "max_files_per_shard"), bucket_files)
 
 
-def _writer(source: str, target: str, run: str):
+def _writer(source: str, target: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
         import tarfile
 
         from pyarrow import fs
@@ -148,7 +147,7 @@ def _writer(source: str, target: str, run: str):
                         info = tarfile.TarInfo(name)
                         info.size = src.get_file_info(path).size
                         with src.open_input_stream(path, buffer_size=WRITE_BYTES) as data:
-                            tar.addfile(info, io.BufferedReader(data, WRITE_BYTES) if not hasattr(data, "read") else data)
+                            tar.addfile(info, data)
                         for c, v in zip(done, (row["export_id"], row["dir"], row["shard"], k, name, info.size)):
                             done[c].append(v)
                 dst.move(temporary, f"{place}/{row['shard']}")  # a second attempt replaces an equal file
@@ -170,7 +169,7 @@ def consolidate(listing: DataFrame, limits: DataFrame, source: str, target: str)
     plan = stage(plan_shards(files, limits), "shard-plan")
     groups = plan.groupBy("export_id", "dir", "shard").agg(F.collect_list("file_name").alias("names"))  # at most a shard's files
     ddl = "export_id bigint, dir string, shard string, member_no int, member_name string, size_bytes bigint"
-    members = stage(groups.mapInArrow(_writer(source, target, uuid.uuid4().hex), ddl), "shard-members").withColumn("packed_at", F.current_timestamp())
+    members = stage(groups.mapInArrow(_writer(source, target), ddl), "shard-members").withColumn("packed_at", F.current_timestamp())
     dirs = members.groupBy("export_id", "dir").agg(F.sort_array(F.collect_set("shard")).alias("shards"), F.count("*").alias("file_count"))
     manifest = dirs.groupBy("export_id").agg(F.sort_array(F.collect_list(F.struct("dir", "shards", "file_count"))).alias("packed_dirs"))
     room = require(limits, "export_id", "max_files_per_shard").groupBy("export_id").agg(F.max("max_files_per_shard").alias("max_files_per_shard"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pagelens import constants as C
 from pagelens.functions import prompts as P
 from pagelens.functions import text as T
-from pagelens.plans.adapter import ASCII, CYRILLIC, ROOT
+from pagelens.plans.adapter import ASCII, CYRILLIC
 
 
 def q(s: str) -> str:
