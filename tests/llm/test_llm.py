@@ -62,7 +62,7 @@ def test_cuts_depend_on_content_only():
 
 
 def test_consistent_form():
-    same = [("Вода", "Boдa"), ("сor", "сог" if False else "cor"), ("ABC x", "ＡＢＣ　x"), ("й", "й"), ("ї", "ï"), ("а б", "а б"), ("слово", "сло​во­"), ("Ο", "O"), ("Ο", "О"), (" а", "а"), ("é", "é")]
+    same = [("Вода", "Boдa"), ("сor", "cor"), ("ABC x", "ＡＢＣ　x"), ("й", "й"), ("ї", "ï"), ("а б", "а б"), ("слово", "сло​во­"), ("Ο", "O"), ("Ο", "О"), (" а", "а"), ("é", "é")]
     for a, b in same:
         assert consistent(a) == consistent(b), (a, b)
     different = [("а", "а́"), ("х²", "х2"), ("№", "No"), ("А", "а"), ("и", "й"), ("а  б", "а б"), ("З", "3"), ("👩‍🏫", "👩🏫"), ("ﬁ", "f"), ("a-b", "a–b")]
