@@ -232,6 +232,16 @@ def test_copies_are_one_class(spark):
     assert {tuple(r) for r in cross_split_pairs(pages_of(spark, rows)).collect()} == {(1, 2), (1, 3)}
 
 
+def test_each_word_order_is_compared(spark):
+    rng = random.Random(8)
+    a = [w + e for w in WORDS[:24] for e in ("", "ом")]
+    scrambled, b = rng.sample(a, len(a)), [*a[:-1], "інше"]
+    for ids in ((2, 1), (1, 2)):  # page A and the scrambled page; B is a near copy of A alone
+        rows = [(i, f"a{i}", None, "s", "train", None, [" ".join(t)]) for i, t in zip(ids, (a, scrambled))]
+        rows += [(3, "b", None, "s", "val", None, [" ".join(b)])]
+        assert {tuple(r) for r in cross_split_pairs(pages_of(spark, rows)).collect()} == {(ids[0], 3)}
+
+
 # Leakage.
 
 
