@@ -232,6 +232,17 @@ def test_copies_are_one_class(spark):
     assert {tuple(r) for r in cross_split_pairs(pages_of(spark, rows)).collect()} == {(1, 2), (1, 3)}
 
 
+def test_repeated_words():
+    rng = random.Random(9)
+    for _ in range(50):
+        once = [rng.choice(WORDS) for _ in range(20)]
+        a = once * 2  # no word occurs once
+        b = [*a]
+        b[3] = "ж" + b[3][1:]
+        assert difference(a, a) == 0.0 and difference(a, b) <= 1 / len("".join(a))
+        assert difference(a, [rng.choice(WORDS)[::-1] for _ in a]) > 0.4
+
+
 def test_each_word_order_is_compared(spark):
     rng = random.Random(8)
     a = [w + e for w in WORDS[:24] for e in ("", "ом")]
