@@ -243,6 +243,18 @@ def test_repeated_words():
         assert difference(a, [rng.choice(WORDS)[::-1] for _ in a]) > 0.4
 
 
+def test_lost_spaces():
+    rng = random.Random(10)
+    for _ in range(30):
+        lines = [[rng.choice(WORDS) + rng.choice(["", "ом", "ею"]) for _ in range(8)] for _ in range(6)]
+        a = sum(lines, [])
+        joined = [[*t[:2], t[2] + t[3], t[4] + t[5], t[6] + t[7]] for t in lines]
+        assert difference(a, sum(joined, [])) == 0.0
+        assert difference(a, sum(joined[::-1], [])) < 0.3 and difference(sum(joined[::-1], []), a) < 0.3
+        assert difference(a, noisy(rng, " ".join(sum(lines[::-1], [])), 0.2).split()) < 0.3
+        assert difference(a, a[::-1]) > 0.4
+
+
 def test_each_word_order_is_compared(spark):
     rng = random.Random(8)
     a = [w + e for w in WORDS[:24] for e in ("", "ом")]
