@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from pagelens.llm import queries as Q
 from pagelens.llm.confusables import consistent, look_alike_classes, look_alike_pairs, look_digests, token_kind
-from pagelens.llm.cross_split import cross_split_pairs, difference, edit_distance, overlap_report
+from pagelens.llm.cross_split import cross_split_pairs, difference, edit_distance, overlap_report, shared_letter_pairs
 from pagelens.llm.encode import cuts, encode_corpus
 from pagelens.llm.leakage import PASSAGE, leaked_items, words
 from pagelens.llm.residue import residue_documents, without_residue
@@ -255,6 +255,27 @@ def test_lost_spaces():
         assert difference(a, a[::-1]) > 0.4
 
 
+def test_changes_in_all_words(spark):
+    rng = random.Random(11)
+    rows, want = [], set()
+    for i in range(20):  # each fifth letter is changed, so hardly a word is left
+        lines = ["".join(rng.choice("абвгдежзиклмнопрст") for _ in range(35)) for _ in range(8)]
+        lines = [" ".join(t[k : k + 7] for k in range(0, 35, 7)) for t in lines]
+        rows.append((i, f"t{i}", None, "s", "train", None, lines))
+        letters = iter(range(9999))
+        changed = ["".join(c if c == " " or next(letters) % 5 else "ю" for c in t) for t in lines]
+        rows.append((100 + i, f"e{i}", None, "s", "val", None, rng.sample(changed, 8)))
+        want.add((i, 100 + i))
+    assert {tuple(r) for r in cross_split_pairs(pages_of(spark, rows)).collect()} == want
+
+
+def test_shared_letter_pairs():
+    rng = random.Random(12)
+    a, b = (["".join(rng.choice("абв") for _ in range(rng.randrange(1, 40))) for _ in range(30)] for _ in range(2))
+    count = lambda t: Counter(zip(t, t[1:]))
+    assert shared_letter_pairs(a, b).tolist() == [[(count(x) & count(y)).total() for y in b] for x in a]
+
+
 def test_each_word_order_is_compared(spark):
     rng = random.Random(8)
     a = [w + e for w in WORDS[:24] for e in ("", "ом")]
