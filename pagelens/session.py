@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
 _folders: dict[str, str] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -66,8 +67,20 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """Write ``df`` as a stage table in buckets of ``column``, so joins and groups by it needn't move its rows."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    table_name = f"stage_{uuid.uuid4().hex[:16]}"
+    df.write.bucketBy(buckets, column).option("path", path).saveAsTable(table_name)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(table_name)
+    return spark.table(table_name)
+
+
 def discard(spark: SparkSession) -> None:
     """Delete all stage tables of this application; results that read them must be consumed before."""
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     folder = _folders.pop(spark.sparkContext.applicationId, None)
     if folder:
         jvm = spark.sparkContext._jvm
