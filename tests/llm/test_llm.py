@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pagelens.llm import queries as Q
 from pagelens.llm.confusables import consistent, look_alike_classes, look_alike_pairs, look_digests, token_kind
 from pagelens.llm.cross_split import cross_split_pairs, difference, edit_distance, overlap_report, shared_letter_pairs
-from pagelens.llm.encode import cuts, encode_corpus
+from pagelens.llm.encode import WINDOW, cuts, encode_corpus, gear_table, rolling_hash
 from pagelens.llm.leakage import PASSAGE, leaked_items, words
 from pagelens.llm.residue import residue_documents, without_residue
 from pagelens.llm.splits import assign_splits, choose, components, split_families
@@ -52,10 +52,22 @@ def test_ids_equal_the_tokenizers(spark):
 def test_cuts_depend_on_content_only():
     import numpy as np
 
-    text = " ".join(random.Random(2).choices(WORDS, k=400)).encode()
-    alone, _ = cuts(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    moved, _ = cuts(np.frombuffer(b"other start " + text, np.uint8), np.array([0, len(text) + 12]))
-    assert set((alone[10:] + 12).tolist()) <= set(moved.tolist())
+    text = " ".join(random.Random(2).choices(WORDS, k=4000)).encode()
+    alone, a, b = cuts(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    moved, _, _ = cuts(np.frombuffer(b"other start " + text, np.uint8), np.array([0, len(text) + 12]))
+    assert set((alone[1:] + 12).tolist()) <= set(moved.tolist())
+    assert 60 < len(text) / len(alone) < 500 and len(a) > len(alone) / 2  # most cuts fall into words
+    assert (a[1:] >= b[:-1]).all() and (a < b).all()
+
+
+def test_rolling_hash_is_of_the_last_bytes():
+    import numpy as np
+
+    buf = np.frombuffer(random.Random(3).randbytes(300), np.uint8)
+    gear = gear_table()
+    for i in range(len(buf)):
+        want = sum(int(gear[x]) << k for k, x in enumerate(buf[max(0, i - WINDOW) : i][::-1])) & 0xFFFFFFFF
+        assert rolling_hash(buf)[i] == want
 
 
 # Confusables.
