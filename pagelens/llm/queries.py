@@ -31,6 +31,15 @@ def p2_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_splits(table(prepare(spark), sf_dir, "page_records"), PROPORTIONS)
 
 
+def p2_split_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of each split of p2_split and families that lie in more than one."""
+    from pyspark.sql import functions as F
+
+    per = p2_split(spark, sf_dir).groupBy("family", "split").agg(F.count("*").alias("n")).groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("split", "n"))).alias("n"))
+    each = per.select(F.explode("n").alias("split", "pages"), (F.size("n") - 1).alias("torn"))
+    return each.groupBy("split").agg(F.sum("pages").alias("pages"), F.sum("torn").cast("bigint").alias("torn"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of training and evaluation pages that are the same or nearly."""
     from pagelens.llm.cross_split import cross_split_pairs
@@ -76,7 +85,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_split": p2_split, "p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p2_found": p2_found, "p2_split": p2_split, "p2_split_totals": p2_split_totals, "p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 
 
 P2_FOUND_SQL = r"""
@@ -94,6 +103,13 @@ SELECT DISTINCT page_id FROM f WHERE family IN (SELECT family FROM f GROUP BY fa
 """
 
 
+# Families of one page are frequent enough for totals that are exact; no family may be torn.
+P2_TOTALS_SQL = """
+WITH n AS (SELECT count(DISTINCT page_id) AS n FROM page_records), held AS (SELECT n, round_even(n * 0.1, 0)::BIGINT AS k FROM n)
+SELECT unnest(['train', 'val', 'test']) AS split, unnest([n - 2 * k, k, k]) AS pages, 0::BIGINT AS torn FROM held
+"""
+
+
 def _look_sql() -> str:
     """Shapes letter by letter: the same classes as the script sets give, since those depend on the shape only."""
     from pagelens.llm.confusables import SHAPES
@@ -120,4 +136,4 @@ FROM looks a JOIN looks b ON a.look = b.look AND a.text < b.text WHERE a.look <>
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND_SQL, "p4_found": _p4_sql()}
+    return {"p2_found": P2_FOUND_SQL, "p2_split_totals": P2_TOTALS_SQL, "p4_found": _p4_sql()}

@@ -6,9 +6,10 @@ In each round every root hooks onto its least neighbour if that is less than its
 flattens the trees, and the edges are contracted to the new roots; only edges between different roots
 stay, so rounds shrink quickly and are logarithmic in number.
 
-``assign_splits`` gives whole families to splits: of each family size a proportional number, and the rest by
-subset sums over the size multiplicities (bitsets), so the totals are as close to the proportions as the
-sizes allow.
+``assign_splits`` gives whole families to splits by subset sums over the size multiplicities (bitsets), so that the
+totals are as close to the proportions as the sizes allow.  Of each size a proportional number is taken beforehand, so
+that splits resemble each other; where the rest can't reach the target exactly, half of what was taken is given back
+and the sums are made again, in the end over all multiplicities.
 
 Defined results: a page without a writer number and book is a family of its own; a page delivered again
 counts once and has all keys and sides of its rows; splits other than the four count as no side; null page ids
@@ -17,6 +18,7 @@ are left out; empty tables give empty tables.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -26,8 +28,8 @@ from pyspark.sql.window import Window
 from pagelens.llm.pages import base_name, book_number, file_name_of, side, source_of, writer_number
 from pagelens.session import require, stage
 
-#: Bits of a subset-sum bitset at most; beyond it sums are counted in units of several pages.
-BITS = 1 << 24
+#: Bits of a subset-sum bitset at most; a rest beyond it is counted in units of several pages.
+BITS = 1 << 22
 #: Families of one size that one task ranks; more are cut by a hash.
 RANKED = 100_000
 
@@ -92,48 +94,73 @@ def split_families(pages: DataFrame) -> DataFrame:
     return f.join(torn, "family", "left_semi").select("page_id").distinct()
 
 
-def choose(counts: Mapping[int, int], target: int, share: float) -> dict[int, int]:
-    """How many families of each size to take so that their pages come closest to ``target``.
+def _reach(sums: int, weight: int, count: int, mask: int) -> int:
+    """The bitset of sums with up to ``count`` more of ``weight``, multiplicities in powers of two."""
+    step = 1
+    while count > 0:
+        k = min(step, count)
+        sums |= (sums << (k * weight)) & mask
+        count, step = count - k, step * 2
+    return sums
+
+
+def closest_sum(items: list[tuple[int, int]], goal: int) -> list[int]:
+    """How many of each (weight, count) to take so that the sum comes closest to ``goal`` (ties: the lower sum).
 
-    ``counts`` is the number of families by size.  Of each size ``share`` is taken, rounded down, and the
-    rest of the target is filled by subset sums over the remaining multiplicities.
+    Only about every sqrt(n)-th bitset is kept; those between are made again on the way back.
     """
-    taken = {s: min(c, int(c * share)) for s, c in counts.items()}
-    rest = target - sum(s * k for s, k in taken.items())
-    for s in sorted(taken, reverse=True):  # only if the shares overshoot
-        while rest < 0 and taken[s]:
-            taken[s] -= 1
-            rest += s
-    if rest <= 0:
-        return taken
-    unit = -(-rest // BITS)
-    goal = rest // unit
-    sizes = sorted((s for s in counts if counts[s] > taken[s]), reverse=True)
-    scaled = {s: max(1, round(s / unit)) for s in sizes}
-    limit = goal + max(scaled.values(), default=0)
+    limit = goal + max((w for w, _ in items), default=0)
     mask = (1 << (limit + 1)) - 1
-    sums, history = 1, []
-    for s in sizes:
-        history.append(sums)
-        n, w, step = min(counts[s] - taken[s], limit // scaled[s] + 1), scaled[s], 1
-        while n > 0:  # multiplicity in powers of two
-            k = min(step, n)
-            sums |= (sums << (k * w)) & mask
-            n, step = n - k, step * 2
-    below = sums & ((1 << (goal + 1)) - 1)
-    lower = below.bit_length() - 1
+    block = max(1, math.isqrt(len(items)))
+    sums, kept = 1, []
+    for k, (w, n) in enumerate(items):
+        if k % block == 0:
+            kept.append(sums)
+        sums = _reach(sums, w, min(n, limit // w), mask)
+    lower = (sums & ((1 << (goal + 1)) - 1)).bit_length() - 1
     above = sums >> (goal + 1)
     upper = goal + 1 + ((above & -above).bit_length() - 1) if above else None
     x = upper if upper is not None and upper - goal < goal - lower else lower
-    for s, before in zip(reversed(sizes), reversed(history)):
-        k = 0
-        while not before >> (x - k * scaled[s]) & 1:
-            k += 1
-        taken[s] += k
-        x -= k * scaled[s]
+    taken = [0] * len(items)
+    for first in range((len(items) - 1) // block * block if items else -1, -1, -block):
+        part, inner, sums = items[first : first + block], [], kept.pop()
+        for w, n in part:
+            inner.append(sums.to_bytes(limit // 8 + 1, "little"))
+            sums = _reach(sums, w, min(n, limit // w), mask)
+        for k in range(len(part) - 1, -1, -1):
+            while not inner[k][x >> 3] >> (x & 7) & 1:
+                x -= part[k][0]
+                taken[first + k] += 1
     return taken
 
 
+def choose(counts: Mapping[int, int], target: int, share: float) -> dict[int, int]:
+    """How many families of each size to take so that their pages come closest to ``target`` (ties: the fewer pages).
+
+    ``counts`` is the number of families by size.  Of each size ``share``, rounded down, is fixed at first; while the others
+    don't reach the target exactly, less is fixed, and in the end nothing.  The result is exact as long as a rest without
+    anything fixed has at most BITS pages; a rest beyond that, which so many families of few sizes usually reach exactly,
+    is summed in units of several pages.
+    """
+    fixed = {s: min(c, int(c * share)) for s, c in counts.items()}
+    best: dict[int, int] = dict.fromkeys(counts, 0)
+    while True:
+        rest = target - sum(s * k for s, k in fixed.items())
+        if rest >= 0:
+            unit = max(1, -(-rest // BITS))
+            sizes = sorted((s for s in counts if counts[s] > fixed[s]), reverse=True)
+            more = closest_sum([(max(1, round(s / unit)), counts[s] - fixed[s]) for s in sizes], rest // unit)
+            taken = fixed | {s: fixed[s] + k for s, k in zip(sizes, more)}
+            total, ahead = (sum(s * k for s, k in t.items()) for t in (taken, best))
+            if (abs(total - target), total) < (abs(ahead - target), ahead):
+                best = taken
+            if total == target:
+                return best
+        if not any(fixed.values()):
+            return best
+        fixed = {s: k // 2 for s, k in fixed.items()}
+
+
 def assign_splits(pages: DataFrame, proportions: Mapping[str, float], seed: int = 0) -> DataFrame:
     """(page_id, family, split): every page's split by family, close to the given proportions.
 

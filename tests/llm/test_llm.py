@@ -154,20 +154,18 @@ def test_split_families(spark):
 
 def test_choose_is_exact():
     rng = random.Random(4)
-    for _ in range(200):
+    cases = [({19: 4, 24: 4, 5: 1}, 53, 0.3), ({}, 3, 0.5), ({7: 2}, 0, 0.0), ({5: 3}, 7, 1.0), ({5: 3}, 8, 0.1)]
+    for _ in range(400):
         counts = {s: rng.randrange(1, 6) for s in rng.sample(range(1, 30), rng.randrange(1, 6))}
-        total = sum(s * n for s, n in counts.items())
         share = rng.random()
-        target = round(total * share)
+        cases.append((counts, round(sum(s * n for s, n in counts.items()) * share), share))
+    for counts, target, share in cases:
         taken = choose(counts, target, share)
         assert all(0 <= taken[s] <= counts[s] for s in counts)
-        base = {s: int(n * share) for s, n in counts.items()}
         sums = {0}
         for s, n in counts.items():
-            sums = {x + s * k for x in sums for k in range(base[s], n + 1)}
-        got = sum(s * k for s, k in taken.items())
-        if min(sums) <= target:
-            assert abs(got - target) == min(abs(x - target) for x in sums)
+            sums = {x + s * k for x in sums for k in range(n + 1)}
+        assert abs(sum(s * k for s, k in taken.items()) - target) == min(abs(x - target) for x in sums)
 
 
 def test_assign_splits(spark):
