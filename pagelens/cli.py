@@ -95,34 +95,39 @@ def make_submission(spark: SparkSession, a: argparse.Namespace, config: dict) ->
 def _listing(spark: SparkSession, root: str) -> DataFrame:
     from pagelens.sources.scans import list_files
 
-    rest = F.col("path").substr(F.lit(len(root) + 2), F.lit(1 << 20))
-    parts = F.split(rest, "/")
-    f = list_files(spark, root)
-    return f.select(parts[0].cast("bigint").alias("export_id"), F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), "/").alias("dir"), F.element_at(parts, -1).alias("file_name"), "size_bytes", F.lit(None).cast("timestamp").alias("listed_at"))
+    parts = F.split(F.col("path").substr(F.lit(len(root) + 2), F.lit(1 << 20)), "/")
+    folder = F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/")
+    f = list_files(spark, root).select(F.lit(0).cast("bigint").alias("export_id"), folder.alias("dir"), F.element_at(parts, -1).alias("file_name"), "size_bytes", F.lit(None).cast("timestamp").alias("listed_at"))
+    return f.where(~F.col("file_name").startswith(".") & (F.col("file_name") != "_pack_manifest.json"))
 
 
 def pack(spark: SparkSession, a: argparse.Namespace, config: dict) -> dict:
-    """Consolidate the loose files of ``source/export/dir`` into shards below ``target``."""
-    from pagelens.operators.compaction import consolidate, manifest_totals
+    """Consolidate the loose files of the packable folders below ``source`` into shards below ``target``, by default in place."""
+    from pagelens.operators.compaction import check_layout, consolidate, loose_files, manifest_totals
+    from pagelens.session import stage
 
-    listing = _listing(spark, _uri(a.source))
-    limits = listing.select("export_id", F.lit(a.max_files).alias("max_files_per_shard")).distinct()
-    m = consolidate(listing, limits, _uri(a.source), _uri(a.target))
+    source, target = _uri(a.source), _uri(a.target or a.source)
+    listing = _listing(spark, source)
+    if a.dirs:
+        listing = listing.where(F.col("dir").isin(a.dirs))
+    elif not a.target:  # beside packed folders stand tables and cards
+        listing = listing.where("dir <> ''")
+    listing = stage(listing, "listing")
+    limits = spark.createDataFrame([(0, a.max_files)], "export_id bigint, max_files_per_shard int")
+    m = consolidate(listing, limits, source, target, flat=True, force=a.force, remove_loose=not a.target)
+    check_layout(loose_files(_listing(spark, target)).select("dir", "file_name"))
     return {"exports": [r.asDict() for r in manifest_totals(m).collect()]}
 
 
 def unpack(spark: SparkSession, a: argparse.Namespace, config: dict) -> dict:
     """Restore the files of the shards that the published manifest names."""
-    from pyarrow import fs
-
+    from pagelens.operators.compaction import read_manifest
     from pagelens.operators.compaction import unpack as restore
 
-    system, root = fs.FileSystem.from_uri(_uri(a.source))
-    with system.open_input_stream(f"{root}/_pack_manifest.json") as f:
-        lines = f.read().decode().splitlines()
-    schema = "export_id bigint, version int, max_files_per_shard int, packed_dirs array<struct<dir:string,shards:array<string>,file_count:bigint>>, written_at timestamp"
-    m = spark.createDataFrame([(x,) for x in lines], "j string").select(F.from_json("j", schema).alias("m")).select("m.*")
-    return {"restored_files": restore(m, _uri(a.source), _uri(a.target)).count()}
+    m = read_manifest(spark, _uri(a.source))
+    if m is None:
+        raise FileNotFoundError(f"no manifest below {a.source}")
+    return {"restored_files": restore(m, _uri(a.source), _uri(a.target), flat=True).count()}
 
 
 def sft_rows(spark: SparkSession, a: argparse.Namespace, config: dict) -> dict:
@@ -157,7 +162,7 @@ def parser() -> argparse.ArgumentParser:
     verb("evaluate", evaluate, "raw-dir", "predictions", split={"default": "train"}, iou={"type": float, "default": 0.5}, by_source=flag, by_annotation_source=flag)
     verb("infer", infer, "raw-dir", "output", mode={"default": "empty"})
     verb("make-submission", make_submission, "sample", "predictions", "output")
-    verb("pack-curated", pack, "source", "target", max_files={"type": int, "default": 2000})
+    verb("pack-curated", pack, "source", target={}, max_files={"type": int, "default": 2000}, dirs={"nargs": "*"}, force=flag)
     verb("unpack-curated", unpack, "source", "target")
     verb("train-vlm-qlora", sft_rows, "train-jsonl", "output-dir", min_quality_weight={"type": float}, sample_limit={"type": int}, eval_fraction={"type": float, "default": 0.1}, seed={"type": int, "default": 42})
     for name, what in EXTERNAL.items():

@@ -2,9 +2,9 @@
 
 ``plan_shards`` assigns files to a fixed number of output groups, longest first, each to the least
 loaded group that has room (a heap).  ``consolidate`` streams every group through pyarrow into one
-shard, audits what was written with ``audit_packing`` against the listing and publishes the manifest by
-a single rename only if each distinct file is exactly one member.  ``audit_packing`` is the same check
-for a packing that others recorded.
+shard, reads the written shards again, compares names, sizes and checksums with what went in, audits the
+members against the listing and publishes the manifest by a single rename only if each distinct file is
+exactly one member.  ``audit_packing`` is the same audit for a packing that others recorded.
 
 Defined results: a file is known by (export, plain dir, name); listed repeatedly it counts once, with
 its latest size (nulls first; ties: the greater size); shard files among the loose ones are no loose files;
@@ -16,17 +16,20 @@ from __future__ import annotations
 
 import heapq
 import json
+import tarfile
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagelens.operators.ordinal import row_numbers
 from pagelens.session import require, stage
 
-#: Files of one dir that one task schedules; larger dirs are cut into buckets of about this many.
+#: Files of one dir that one task schedules, about.
 BUCKET_FILES = 100_000
 #: Bytes read into memory at a time while a shard is written.
 WRITE_BYTES = 8 << 20
@@ -99,27 +102,26 @@ def plan_shards(files: DataFrame, limits: DataFrame, bucket_files: int = BUCKET_
     """(export_id, dir, file_name, size_bytes, shard): a shard of at most max_files_per_shard files for each file.
 
     ``limits`` has (export_id, max_files_per_shard); exports without a positive limit use the default 2000.
-    A dir of n files gets ceil(n / limit) shards.  Dirs beyond ``bucket_files`` files are cut by a hash
-    of the name, so no task schedules more than about that many; each bucket has shards of its own.
+    A dir of n files gets ceil(n / limit) shards.  A dir is scheduled in buckets of a whole number of shards, about
+    ``bucket_files`` files each, by the order of a hash of the names, so no task schedules more; load is
+    balanced inside a bucket.
     """
     f = require(files, "export_id", "dir", "file_name", "size_bytes")
     lim = require(limits, "export_id", "max_files_per_shard").groupBy("export_id").agg(F.max("max_files_per_shard").alias("room"))
-    n = f.groupBy("export_id", "dir").agg(F.count("*").alias("n"))
-    n = n.join(lim, "export_id", "left").withColumn("room", F.when(F.col("room") > 0, F.col("room")).otherwise(2000).cast("bigint"))
-    n = n.withColumn("buckets", F.ceil(F.col("n") / F.lit(bucket_files)).cast("bigint"))
-    b = f.join(n.select("export_id", "dir", "room", "buckets"), ["export_id", "dir"])
-    b = b.withColumn("bucket", F.pmod(F.xxhash64("file_name"), "buckets"))
+    # Ranks by hash are exact in dirs of any size, so every bucket but a dir's last is full.
+    f = row_numbers(f, ["export_id", "dir"], [F.xxhash64("file_name"), F.col("file_name")]).join(lim, "export_id", "left")
+    f = f.withColumn("room", F.when(F.col("room") > 0, F.col("room")).otherwise(2000).cast("bigint"))
+    f = f.withColumn("groups", F.greatest(F.lit(1), F.floor(F.lit(bucket_files) / F.col("room"))))
+    f = f.withColumn("bucket", F.floor((F.col("rn") - 1) / (F.col("groups") * F.col("room"))))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("file_name", kind="stable").reset_index(drop=True)
-        room, many = int(pdf["room"].iloc[0]), int(pdf["buckets"].iloc[0]) > 1
-        groups = -(-len(pdf) // room)
-        g = schedule(pdf["size_bytes"].fillna(0).clip(lower=0).astype("int64").tolist(), groups, room)
-        mark = f"b{int(pdf['bucket'].iloc[0]):05d}-" if many else ""
-        pdf["shard"] = [f"shard-{mark}{x:05d}.tar" for x in g]
+        room, first = int(pdf["room"].iloc[0]), int(pdf["bucket"].iloc[0]) * int(pdf["groups"].iloc[0])
+        g = schedule(pdf["size_bytes"].fillna(0).clip(lower=0).astype("int64").tolist(), -(-len(pdf) // room), room)
+        pdf["shard"] = [f"shard-{first + x:05d}.tar" for x in g]
         return pdf[["export_id", "dir", "file_name", "size_bytes", "shard"]]
 
-    return b.groupBy("export_id", "dir", "bucket").applyInPandas(one, "export_id bigint, dir string, file_name string, size_bytes bigint, shard string")
+    return f.groupBy("export_id", "dir", "bucket").applyInPandas(one, "export_id bigint, dir string, file_name string, size_bytes bigint, shard string")
 
 
 def repack(listing: DataFrame, manifest: DataFrame, bucket_files: int = BUCKET_FILES) -> DataFrame:
@@ -127,64 +129,190 @@ def repack(listing: DataFrame, manifest: DataFrame, bucket_files: int = BUCKET_F
     return plan_shards(loose_files(listing), newest_manifest(manifest).select("export_id", "max_files_per_shard"), bucket_files)
 
 
-def _writer(source: str, target: str):
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tarfile
+_MEMBER = pa.schema([("export_id", pa.int64()), ("dir", pa.string()), ("shard", pa.string()), ("member_no", pa.int32()), ("member_name", pa.string()), ("size_bytes", pa.int64()), ("crc", pa.int64())])
+_MEMBER_DDL = "export_id bigint, dir string, shard string, member_no int, member_name string, size_bytes bigint, crc bigint"
+MANIFEST = "_pack_manifest.json"
+MANIFEST_DDL = "export_id bigint, version int, max_files_per_shard int, packed_dirs array<struct<dir:string,shards:array<string>,file_count:bigint>>, written_at timestamp"
+
+
+def _place(root: str, export_id: int, folder: str, flat: bool) -> str:
+    return "/".join(x for x in (root, "" if flat else str(export_id), folder) if x)
+
+
+class _Summed:
+    """A stream that keeps the checksum and the number of the bytes read through it."""
+
+    def __init__(self, data):  # noqa: ANN001
+        self.data, self.crc, self.size = data, 0, 0
+
+    def read(self, n: int = -1) -> bytes:
+        part = self.data.read(n)
+        self.crc, self.size = zlib.crc32(part, self.crc), self.size + len(part)
+        return part
 
+
+def _writer(source: str, target: str, flat: bool):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         src, src_root = fs.FileSystem.from_uri(source)
         dst, dst_root = fs.FileSystem.from_uri(target)
         for batch in batches:
-            done = {k: [] for k in ("export_id", "dir", "shard", "member_no", "member_name", "size_bytes")}
+            done = {k: [] for k in _MEMBER.names}
             for row in batch.to_pylist():
-                place = "/".join(x for x in (dst_root, str(row["export_id"]), row["dir"]) if x)
+                place = _place(dst_root, row["export_id"], row["dir"], flat)
                 dst.create_dir(place, recursive=True)
                 temporary = f"{place}/.{row['shard']}.{uuid.uuid4().hex}"
                 with dst.open_output_stream(temporary) as out, tarfile.open(fileobj=out, mode="w|") as tar:
                     for k, name in enumerate(sorted(row["names"])):
-                        path = "/".join(x for x in (src_root, str(row["export_id"]), row["dir"], name) if x)
+                        path = f"{_place(src_root, row['export_id'], row['dir'], flat)}/{name}"
                         info = tarfile.TarInfo(name)
                         info.size = src.get_file_info(path).size
                         with src.open_input_stream(path, buffer_size=WRITE_BYTES) as data:
-                            tar.addfile(info, data)
-                        for c, v in zip(done, (row["export_id"], row["dir"], row["shard"], k, name, info.size)):
+                            summed = _Summed(data)
+                            tar.addfile(info, summed)
+                        for c, v in zip(done, (row["export_id"], row["dir"], row["shard"], k, name, summed.size, summed.crc)):
                             done[c].append(v)
                 dst.move(temporary, f"{place}/{row['shard']}")  # a second attempt replaces an equal file
-            yield pa.RecordBatch.from_pydict(done, schema=pa.schema([("export_id", pa.int64()), ("dir", pa.string()), ("shard", pa.string()), ("member_no", pa.int32()), ("member_name", pa.string()), ("size_bytes", pa.int64())]))
+            yield pa.RecordBatch.from_pydict(done, schema=_MEMBER)
 
     return write
 
 
-def consolidate(listing: DataFrame, limits: DataFrame, source: str, target: str) -> DataFrame:
-    """Write the shards of ``listing``'s files from ``source`` to ``target`` and publish the manifest.
+def _reader(target: str, flat: bool):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        dst, root = fs.FileSystem.from_uri(target)
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = {k: [] for k in _MEMBER.names}
+                with dst.open_input_stream(f"{_place(root, row['export_id'], row['dir'], flat)}/{row['shard']}") as data, tarfile.open(fileobj=data, mode="r|") as tar:
+                    for k, member in enumerate(tar):
+                        content = _Summed(tar.extractfile(member))
+                        while content.read(WRITE_BYTES):
+                            pass
+                        for c, v in zip(found, (row["export_id"], row["dir"], row["shard"], k, member.name, content.size, content.crc)):
+                            found[c].append(v)
+                yield pa.RecordBatch.from_pydict(found, schema=_MEMBER)
+
+    return read
+
+
+def read_members(shards: DataFrame, target: str, flat: bool = False) -> DataFrame:
+    """What (export_id, dir, shard) shards below ``target`` hold, by reading them: member_no, member_name, size_bytes and crc.
 
-    Files are at ``source/export/dir/name`` and shards at ``target/export/dir/shard`` (folder URIs that
-    all executors reach).  Returns the manifest (export_id, max_files_per_shard, packed_dirs, written_at, version).
-    Nothing is published unless every distinct file is exactly one member of the right size.
+    A missing or cut-off shard fails the query.
     """
+    return shards.select("export_id", "dir", "shard").mapInArrow(_reader(target, flat), _MEMBER_DDL)
+
+
+def _remover(root_uri: str, flat: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(root_uri)
+        for batch in batches:
+            for row in batch.to_pylist():
+                path = f"{_place(root, row['export_id'], row['dir'], flat)}/{row['name']}"
+                if system.get_file_info(path).type == fs.FileType.File:
+                    system.delete_file(path)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return run
+
+
+def read_manifest(spark: SparkSession, target: str) -> DataFrame | None:
+    """The manifest published below ``target``, a row an export; None if there is none."""
     from pyarrow import fs
 
-    files = loose_files(listing)
-    plan = stage(plan_shards(files, limits), "shard-plan")
+    system, root = fs.FileSystem.from_uri(target)
+    if system.get_file_info(f"{root}/{MANIFEST}").type != fs.FileType.File:
+        return None
+    with system.open_input_stream(f"{root}/{MANIFEST}") as f:
+        lines = f.read().decode().splitlines()
+    return spark.createDataFrame([(x,) for x in lines], "j string").select(F.from_json("j", MANIFEST_DDL).alias("m")).select("m.*")
+
+
+def _publish(manifest: DataFrame, target: str) -> None:
+    from pyarrow import fs
+
+    dst, root = fs.FileSystem.from_uri(target)
+    dst.create_dir(root, recursive=True)
+    temporary = f"{root}/.{MANIFEST}.{uuid.uuid4().hex}"
+    with dst.open_output_stream(temporary) as out:
+        for row in manifest.select(F.to_json(F.struct(*manifest.columns)).alias("j")).toLocalIterator():
+            out.write((json.dumps(json.loads(row.j), ensure_ascii=False) + "\n").encode())
+    dst.move(temporary, f"{root}/{MANIFEST}")
+
+
+def verify_shards(logged: DataFrame, found: DataFrame) -> DataFrame:
+    """Members whose name, size or checksum differ between what was written and what the shards hold."""
+    key = [c for c in _MEMBER.names]
+    return logged.select(*key).exceptAll(found.select(*key)).unionAll(found.select(*key).exceptAll(logged.select(*key)))
+
+
+def consolidate(listing: DataFrame, limits: DataFrame, source: str, target: str, flat: bool = False, force: bool = False, remove_loose: bool = False) -> DataFrame:
+    """Write the shards of ``listing``'s files from ``source`` to ``target`` and publish the manifest.
+
+    Files are at ``source/export/dir/name`` and shards at ``target/export/dir/shard`` (folder URIs that all executors
+    reach); with ``flat`` there is no folder for the export.  Returns the manifest (export_id, version, max_files_per_shard,
+    packed_dirs, written_at).
+
+    Nothing is published unless the shards, read again, hold what went in and every distinct file is exactly one member, of
+    the listed size where one is listed.  An earlier manifest below ``target`` is kept and added to: files that its shards
+    hold with the listed size are done, new ones get shards of their own, so a second run changes nothing.  A file that an
+    earlier shard holds in another size is an error, unless ``force`` packs its dir anew and removes the earlier shards.
+    ``remove_loose`` deletes the loose files after publication.
+    """
+    spark = listing.sparkSession
+    files, key = stage(loose_files(listing), "loose-files"), _FILE_KEY
+    earlier, version = read_manifest(spark, target), 1
+    stale = todo = None
+    if earlier is not None:
+        earlier = stage(earlier, "earlier-manifest")
+        version = (earlier.agg(F.max("version")).first()[0] or 0) + 1
+        held = read_members(named_shards(earlier), target, flat).select("export_id", "dir", F.col("member_name").alias("file_name"), F.col("size_bytes").alias("held_size"))
+        both = files.join(held.groupBy(*key).agg(F.min("held_size").alias("low"), F.max("held_size").alias("high")), key, "left")
+        both = stage(both.withColumn("state", F.when(F.col("low").isNull(), "new").when((F.col("low") == F.col("high")) & (F.coalesce("size_bytes", "low") == F.col("low")), "done").otherwise("other")), "pack-states")
+        if force:
+            dirs = both.where("state <> 'done'").select("export_id", "dir").distinct()
+            todo, stale = both.join(dirs, ["export_id", "dir"], "left_semi").select(*key, "size_bytes"), stage(named_shards(earlier).join(dirs, ["export_id", "dir"], "left_semi"), "stale-shards")
+        elif clash := both.where("state = 'other'").first():
+            raise RuntimeError(f"{clash.dir}/{clash.file_name} is packed already with another size")
+        else:
+            todo = both.where("state = 'new'").select(*key, "size_bytes")
+        if todo.isEmpty():
+            return earlier
+    plan = plan_shards(files if todo is None else todo, limits)
+    if version > 1:
+        plan = plan.withColumn("shard", F.regexp_replace("shard", "^shard-", f"shard-v{version}-"))
+    plan = stage(plan, "shard-plan")
     groups = plan.groupBy("export_id", "dir", "shard").agg(F.collect_list("file_name").alias("names"))  # at most a shard's files
-    ddl = "export_id bigint, dir string, shard string, member_no int, member_name string, size_bytes bigint"
-    members = stage(groups.mapInArrow(_writer(source, target), ddl), "shard-members").withColumn("packed_at", F.current_timestamp())
+    logged = stage(groups.mapInArrow(_writer(source, target, flat), _MEMBER_DDL), "shard-log")
+    members = stage(read_members(plan.select("export_id", "dir", "shard").distinct(), target, flat), "shard-members")
+    if not verify_shards(logged, members).isEmpty():
+        raise RuntimeError("a shard doesn't hold what was written; nothing was published")
     dirs = members.groupBy("export_id", "dir").agg(F.sort_array(F.collect_set("shard")).alias("shards"), F.count("*").alias("file_count"))
+    if earlier is not None:
+        before = earlier.select("export_id", F.explode("packed_dirs").alias("d")).select("export_id", "d.*")
+        before = before.join(stale, ["export_id", "dir"], "left_anti") if stale is not None else before
+        dirs = before.unionByName(dirs).groupBy("export_id", "dir").agg(F.sort_array(F.flatten(F.collect_list("shards"))).alias("shards"), F.sum("file_count").alias("file_count"))
     manifest = dirs.groupBy("export_id").agg(F.sort_array(F.collect_list(F.struct("dir", "shards", "file_count"))).alias("packed_dirs"))
     room = require(limits, "export_id", "max_files_per_shard").groupBy("export_id").agg(F.max("max_files_per_shard").alias("max_files_per_shard"))
-    manifest = manifest.join(room, "export_id", "left").select("export_id", F.lit(1).alias("version"), "max_files_per_shard", "packed_dirs", F.current_timestamp().alias("written_at"))
+    if earlier is not None:
+        room = room.unionByName(earlier.select("export_id", "max_files_per_shard").join(room, "export_id", "left_anti"))
+    manifest = manifest.join(room, "export_id", "left").select("export_id", F.lit(version).alias("version"), "max_files_per_shard", "packed_dirs", F.current_timestamp().alias("written_at"))
     manifest = stage(manifest, "shard-manifest")
-    wrong = audit_packing(listing, members, manifest)
-    if wrong.limit(1).count():
+    wrong = audit_packing(plan.withColumn("listed_at", F.current_timestamp()), members.withColumn("packed_at", F.current_timestamp()), manifest)
+    sizes = plan.join(members.select("export_id", "dir", F.col("member_name").alias("file_name"), F.col("size_bytes").alias("packed")), key).where("size_bytes <> packed")
+    if not wrong.isEmpty() or not sizes.isEmpty():
         raise RuntimeError("the packing isn't exact; nothing was published")
-    dst, root = fs.FileSystem.from_uri(target)
-    dst.create_dir(root, recursive=True)
-    temporary = f"{root}/._pack_manifest.{uuid.uuid4().hex}"
-    with dst.open_output_stream(temporary) as out:
-        for row in manifest.select(F.to_json(F.struct(*manifest.columns)).alias("j")).toLocalIterator():
-            out.write((json.dumps(json.loads(row.j), ensure_ascii=False) + "\n").encode())
-    dst.move(temporary, f"{root}/_pack_manifest.json")
+    _publish(manifest, target)
+    if stale is not None:
+        stale.withColumnRenamed("shard", "name").mapInArrow(_remover(target, flat), "n bigint").agg(F.sum("n")).collect()
+    if remove_loose:
+        files.withColumnRenamed("file_name", "name").mapInArrow(_remover(source, flat), "n bigint").agg(F.sum("n")).collect()
     return manifest
 
 
@@ -193,8 +321,6 @@ def shard_plan(files: DataFrame, limit: int) -> DataFrame:
 
     ``files`` has distinct (dir, file_name).  Dirs may be of any size; numbering needs no task that sees a whole dir.
     """
-    from pagelens.operators.ordinal import row_numbers
-
     numbered = row_numbers(require(files, "dir", "file_name"), ["dir"], [F.col("file_name")])
     shard = F.floor((F.col("rn") - 1) / F.lit(limit)).cast("int")
     return numbered.select("dir", "file_name", F.format_string("shard-%05d.tar", shard).alias("shard"))
@@ -235,10 +361,8 @@ def top_level_paths(files: DataFrame, path: str = "path") -> DataFrame:
     return files.where(p != ".gitattributes").select(F.split(p, "/")[0].alias("name"), p.contains("/").alias("is_folder")).distinct()
 
 
-def _unpacker(source: str, target: str):
+def _unpacker(source: str, target: str, flat: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tarfile
-
         from pyarrow import fs
 
         src, src_root = fs.FileSystem.from_uri(source)
@@ -246,12 +370,11 @@ def _unpacker(source: str, target: str):
         for batch in batches:
             out = {"export_id": [], "dir": [], "file_name": [], "size_bytes": []}
             for row in batch.to_pylist():
-                place = "/".join(x for x in (str(row["export_id"]), row["dir"]) if x)
-                with src.open_input_stream(f"{src_root}/{place}/{row['shard']}") as data, tarfile.open(fileobj=data, mode="r|") as tar:
+                with src.open_input_stream(f"{_place(src_root, row['export_id'], row['dir'], flat)}/{row['shard']}") as data, tarfile.open(fileobj=data, mode="r|") as tar:
                     for member in tar:
                         if not member.isfile() or member.name.startswith("/") or ".." in member.name.split("/"):
                             raise ValueError(f"unsafe member {member.name!r} in {row['shard']}")
-                        full = f"{dst_root}/{place}/{member.name}"
+                        full = f"{_place(dst_root, row['export_id'], row['dir'], flat)}/{member.name}"
                         dst.create_dir(full.rsplit("/", 1)[0], recursive=True)
                         content = tar.extractfile(member)
                         with dst.open_output_stream(full) as f:
@@ -264,9 +387,9 @@ def _unpacker(source: str, target: str):
     return run
 
 
-def unpack(manifest: DataFrame, source: str, target: str) -> DataFrame:
+def unpack(manifest: DataFrame, source: str, target: str, flat: bool = False) -> DataFrame:
     """(export_id, dir, file_name, size_bytes): files restored from the shards that the manifest names, a task a shard.
 
     A missing shard fails the query.
     """
-    return named_shards(manifest).mapInArrow(_unpacker(source, target), "export_id bigint, dir string, file_name string, size_bytes bigint")
+    return named_shards(manifest).mapInArrow(_unpacker(source, target, flat), "export_id bigint, dir string, file_name string, size_bytes bigint")

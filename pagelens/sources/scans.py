@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pagelens.constants import RAW_PAGE, RAW_REGION
 from pagelens.operators.pages import last_wins, normalize_pages, normalize_regions
 from pagelens.functions.text import base_name
+from pagelens.session import stage
 
+_ORDER = "struct<file: string, block: bigint, line: bigint>"
 PREDICTIONS = f"image string, regions array<{RAW_REGION}>"
 
 
@@ -21,6 +23,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def in_order(df: DataFrame) -> DataFrame:
+    """``df`` with ``_ord``, the place of each row in reading order: by file, by block of the file, by line.
+
+    Scans number their rows by split, and splits are planned by size; so rows are ordered by where they were read.
+    """
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return df.withColumn("_ord", at)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
     """Rows of a JSONL file or folder, with ``_ord``, their place in reading order.
 
@@ -29,13 +40,13 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True)
     """
     reader = spark.read.option("mode", "FAILFAST" if strict else "PERMISSIVE")
     df = reader.schema(schema if strict else f"{schema}, _corrupt_record string").json(path)
-    return df.withColumn("_ord", F.monotonically_increasing_id())
+    return in_order(df)
 
 
 def read_split(spark: SparkSession, root: str, split: str) -> DataFrame:
     """Normalised pages of ``root/split/metadata.jsonl``; no rows if there is no such file."""
     path = f"{root}/{split}/metadata.jsonl"
-    raw = read_jsonl(spark, path, RAW_PAGE) if exists(spark, path) else spark.createDataFrame([], RAW_PAGE).withColumn("_ord", F.lit(0).cast("bigint"))
+    raw = read_jsonl(spark, path, RAW_PAGE) if exists(spark, path) else spark.createDataFrame([], f"{RAW_PAGE}, _ord {_ORDER}")
     return normalize_pages(raw, F.lit(split), F.lit(f"{root}/{split}"))
 
 
@@ -61,7 +72,11 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 def read_submission(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a submission CSV with its own header, and ``_ord``; cells may hold quoted JSON and line ends."""
     df = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-    return df.withColumn("_ord", F.monotonically_increasing_id())
+    return in_order(df)
+
+
+#: Entries of a folder in one batch of a listing.
+LISTED = 10_000
 
 
 def _lister(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,24 +85,25 @@ def _lister(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for uri in batch.column(0).to_pylist():
             system, root = fs.FileSystem.from_uri(uri)
-            found = [f for f in system.get_file_info(fs.FileSelector(root, recursive=True)) if f.type == fs.FileType.File]
-            paths = [f"{uri}/{f.path[len(root) + 1 :]}" for f in found]
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array([f.size for f in found], pa.int64())], names=["path", "size_bytes"])
+            entries = system.get_file_info(fs.FileSelector(root))
+            for a in range(0, len(entries), LISTED):
+                part = entries[a : a + LISTED]
+                paths = [f"{uri}/{e.base_name}" for e in part]
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array([e.size for e in part], pa.int64()), pa.array([e.type == fs.FileType.Directory for e in part], pa.bool_())], names=["path", "size_bytes", "folder"])
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, size_bytes) of all files below a folder URI, empty ones too; contents aren't read.
 
-    The driver lists the top level only; each folder on it is listed by a task.
+    Folders are listed level by level, those of a level by all tasks.
     """
-    from pyarrow import fs
-
-    system, top = fs.FileSystem.from_uri(root)
-    entries = system.get_file_info(fs.FileSelector(top))
-    own = [(f"{root}/{e.base_name}", e.size) for e in entries if e.type == fs.FileType.File]
-    folders = [(f"{root}/{e.base_name}",) for e in entries if e.type == fs.FileType.Directory]
-    inner = spark.createDataFrame(folders, "uri string").repartition(max(1, len(folders)))
-    return spark.createDataFrame(own, "path string, size_bytes bigint").union(inner.mapInArrow(_lister, "path string, size_bytes bigint"))
+    found, level = None, spark.createDataFrame([(root,)], "path string")
+    while not level.isEmpty():
+        entries = stage(level.repartition("path").mapInArrow(_lister, "path string, size_bytes bigint, folder boolean"), "listing")
+        files = entries.where("NOT folder").select("path", "size_bytes")
+        found = files if found is None else found.union(files)
+        level = entries.where("folder").select("path")
+    return found
 
 
 def val_pages(pages: DataFrame, assignments: DataFrame) -> DataFrame:

@@ -29,14 +29,27 @@ def test_pipeline(spark, tmp_path, capsys):
 
 
 def test_pack_and_unpack(spark, tmp_path, capsys):
-    for i in range(5):
-        p = tmp_path / f"in/1/crops/train/f{i}.jpg"
-        p.parent.mkdir(parents=True, exist_ok=True)
-        p.write_bytes(bytes([i]) * i)
-    t = run(capsys, "pack-curated", "--source", str(tmp_path / "in"), "--target", str(tmp_path / "out"), "--max-files", "2")
-    assert t["exports"][0]["shards"] == 3 and t["exports"][0]["files"] == 5
-    assert run(capsys, "unpack-curated", "--source", str(tmp_path / "out"), "--target", str(tmp_path / "back")) == {"restored_files": 5}
-    assert (tmp_path / "back/1/crops/train/f3.jpg").read_bytes() == b"\x03\x03\x03"
+    def make(folder, n, first=0):
+        for i in range(first, n):
+            p = tmp_path / "in" / folder / f"f{i}.jpg"
+            p.parent.mkdir(parents=True, exist_ok=True)
+            p.write_bytes(bytes([i]) * i)
+
+    make("crops/train", 5)
+    make("images/test", 3)
+    (tmp_path / "in/metadata.jsonl").write_text("{}")
+    src = str(tmp_path / "in")
+    t = run(capsys, "pack-curated", "--source", src, "--target", str(tmp_path / "out"), "--max-files", "2")
+    assert t["exports"][0]["shards"] == 6 and t["exports"][0]["files"] == 9
+    assert run(capsys, "unpack-curated", "--source", str(tmp_path / "out"), "--target", str(tmp_path / "back")) == {"restored_files": 9}
+    assert (tmp_path / "back/crops/train/f3.jpg").read_bytes() == b"\x03\x03\x03"
+    # In place: loose files go, a second run changes nothing, later files are added.
+    for _ in range(2):
+        assert run(capsys, "pack-curated", "--source", src, "--max-files", "2")["exports"][0]["files"] == 8
+        assert not list((tmp_path / "in").rglob("*.jpg")) and (tmp_path / "in/metadata.jsonl").exists()
+    make("crops/train", 7, 5)
+    assert run(capsys, "pack-curated", "--source", src, "--max-files", "2")["exports"][0]["files"] == 10
+    assert run(capsys, "unpack-curated", "--source", src, "--target", str(tmp_path / "again")) == {"restored_files": 10}
 
 
 def test_external_verbs_are_refused(capsys):

@@ -162,17 +162,68 @@ def test_consolidate_round_trip(spark, tmp_path):
             p = tmp_path / "in/1" / d / f"f{i}.txt"
             p.parent.mkdir(parents=True, exist_ok=True)
             p.write_text(content.setdefault(f"{d}/f{i}.txt".strip("/"), f"{d}{i}" * i))
-    files = listing(spark, [(d, f"f{i}.txt", i) for d in ("crops/train", None) for i in range(7)] * 2)
+    size = {k: len(v) for k, v in content.items()}
+    rows = [(d, f"f{i}.txt", size[f"{d or ''}/f{i}.txt".strip("/")]) for d in ("crops/train", None) for i in range(7)] * 2
+    files = listing(spark, rows)
     limits = spark.createDataFrame([(1, 3)], "export_id bigint, max_files_per_shard int")
-    m = K.consolidate(files, limits, f"file://{tmp_path}/in", f"file://{tmp_path}/out")
+    source, target = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    m = K.consolidate(files, limits, source, target)
     t = K.manifest_totals(m).first()
     assert (t.dirs, t.shards, t.files) == (2, 6, 14)
-    back = K.unpack(m, f"file://{tmp_path}/out", f"file://{tmp_path}/back").collect()
+    back = K.unpack(m, target, f"file://{tmp_path}/back").collect()
     assert len(back) == 14 and {str(p.relative_to(tmp_path / "back/1")): p.read_text() for p in (tmp_path / "back").rglob("*.txt")} == content
+    # A second run changes nothing; a new file gets a shard of its own; a changed one needs force.
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*")}
+    K.consolidate(files, limits, source, target).collect()
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*")} == before
+    (tmp_path / "in/1/new.txt").write_text("new")
+    m = K.consolidate(listing(spark, [*rows, ("", "new.txt", 3)]), limits, source, target)
+    t = K.manifest_totals(m).first()
+    assert (t.dirs, t.shards, t.files) == (2, 7, 15) and m.first().version == 2
+    (tmp_path / "in/1/f3.txt").write_text("changed")
+    changed = listing(spark, [*[r for r in rows if r[:2] != (None, "f3.txt")], ("", "new.txt", 3), ("", "f3.txt", 7)])
+    with pytest.raises(RuntimeError, match="f3.txt"):
+        K.consolidate(changed, limits, source, target)
+    m = K.consolidate(changed, limits, source, target, force=True)
+    assert K.manifest_totals(m).first().files == 15 and len(list((tmp_path / "out/1").glob("*.tar"))) == 3
+    K.unpack(m, target, f"file://{tmp_path}/again").collect()
+    assert (tmp_path / "again/1/f3.txt").read_text() == "changed"
+    # Missing files, and sizes that aren't the listed ones, publish nothing.
     (tmp_path / "in/1/f0.txt").unlink()
-    with pytest.raises(Exception):  # noqa: B017, PT011
-        K.consolidate(files, limits, f"file://{tmp_path}/in", f"file://{tmp_path}/again")
-    assert not (tmp_path / "again/_pack_manifest.json").exists()
+    for rows_ in (rows, [("crops/train", "f1.txt", 1)]):
+        with pytest.raises(Exception):  # noqa: B017, PT011
+            K.consolidate(listing(spark, rows_), limits, source, f"file://{tmp_path}/never")
+    assert not (tmp_path / "never/_pack_manifest.json").exists()
+
+
+def test_damaged_shards_are_not_published(spark, tmp_path, monkeypatch):
+    for i in range(4):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / f"in/f{i}").write_bytes(bytes([65 + i]) * 700)
+    files = listing(spark, [("", f"f{i}", 700) for i in range(4)])
+    limits = spark.createDataFrame([(1, 2)], "export_id bigint, max_files_per_shard int")
+    read = K.read_members
+
+    def damaged(shards, target, flat=False):
+        for p in (tmp_path / "out").rglob("*.tar"):
+            data = bytearray(p.read_bytes())
+            data[600] ^= 1  # in the first member's content
+            p.write_bytes(data)
+        return read(shards, target, flat)
+
+    monkeypatch.setattr(K, "read_members", damaged)
+    with pytest.raises(RuntimeError, match="nothing was published"):
+        K.consolidate(files, limits, f"file://{tmp_path}/in", f"file://{tmp_path}/out", flat=True)
+    assert not (tmp_path / "out/_pack_manifest.json").exists()
+
+
+def test_big_dirs_get_no_more_shards(spark):
+    rows = [("d", f"f{i:04d}", i % 13) for i in range(2003)] + [("e", "x", None)]
+    limits = spark.createDataFrame([(1, 100)], "export_id bigint, max_files_per_shard int")
+    for bucket in (100_000, 500, 30):
+        plan = K.plan_shards(K.loose_files(listing(spark, rows)), limits, bucket).groupBy("dir", "shard").count().collect()
+        assert sorted(r["count"] for r in plan if r.dir == "d") and len([r for r in plan if r.dir == "d"]) == 21 and max(r["count"] for r in plan) <= 100
+        assert sum(r["count"] for r in plan) == 2004
 
 
 def test_audit(spark):
