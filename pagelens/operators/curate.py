@@ -142,9 +142,12 @@ def stratified_split(rows: DataFrame, key: str, fraction: float, seed: int, held
 
 
 def split_assignments(curated: DataFrame, fraction: float = 0.15, seed: int = 42) -> DataFrame:
-    """(file_name, image, split) of the detector export: pages of train and silver that have regions."""
+    """(file_name, image, split) of the detector export: pages of train and silver that have regions.
+
+    A file name of several sources has the split that the last of its sources by name gives it.
+    """
     p = curated.where(F.col("split").isin("train", "silver") & (F.size("regions") > 0))
-    s = stratified_split(p, "file_name", fraction, seed).groupBy("file_name").agg(F.max("split").alias("split"))
+    s = stratified_split(p, "file_name", fraction, seed).groupBy("file_name").agg(F.max_by("split", "source").alias("split"))
     return p.select("file_name", F.col("image_name").alias("image")).distinct().join(s, "file_name")
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -240,16 +240,22 @@ class _Rows:
         return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(self.columns, _ROW)], schema=_ROW)
 
 
-def _members(ix: Index, names: np.ndarray, boxes: np.ndarray) -> dict[int, dict[str, int]]:
-    """For each object (its opening token): name to value token, the last of a repeated name."""
+#: Names that link rows; they are followed whatever fields are wanted.
+_LINKS = frozenset(("page", "image", "regions"))
+
+
+def _members(ix: Index, names: np.ndarray, boxes: np.ndarray, wanted: frozenset | None) -> dict[int, dict[str, int]]:
+    """For each object (its opening token): name to value token, the last of a repeated name; of ``wanted`` names and links only."""
     of = np.flatnonzero(ix.value & (ix.key >= 0) & np.isin(ix.box, boxes))
     out: dict[int, dict[str, int]] = {int(b): {} for b in boxes}
-    for t, b in zip(of.tolist(), ix.box[of].tolist()):
-        out[b][names[t]] = t
+    keep = None if wanted is None else wanted | _LINKS
+    for t, b, name in zip(of.tolist(), ix.box[of].tolist(), names[of].tolist()):
+        if keep is None or name in keep:
+            out[b][name] = t
     return out
 
 
-def _emit_regions(ix: Index, names: np.ndarray, frontier: dict[int, tuple], rows: _Rows, texts: list) -> None:
+def _emit_regions(ix: Index, names: np.ndarray, frontier: dict[int, tuple], rows: _Rows, texts: list, wanted: frozenset | None) -> None:
     """Rows of the regions in the lists of ``frontier`` (opening token to (owner, path, depth)), level by level.
 
     Lists that come as JSON text are put on ``texts``.
@@ -257,13 +263,13 @@ def _emit_regions(ix: Index, names: np.ndarray, frontier: dict[int, tuple], rows
     while frontier:
         lists = np.fromiter(frontier, np.int64, len(frontier))
         objects = np.flatnonzero((ix.kind == _OPEN) & (ix.byte == 0x7B) & np.isin(ix.box, lists))
-        members = _members(ix, names, objects)
+        members = _members(ix, names, objects, wanted)
         following: dict[int, tuple] = {}
         for t, b, place in zip(objects.tolist(), ix.box[objects].tolist(), ix.place[objects].tolist()):
             owner, parent, depth = frontier[b]
             path = f"{parent}/{place}" if parent is not None else str(place)
             own = members[t]
-            fields = [(k, ix.field(v)) for k, v in own.items() if k != "regions"]
+            fields = [(k, ix.field(v)) for k, v in own.items() if k != "regions" and (wanted is None or k in wanted)]
             rows.add(*owner, "region", path, parent, place, depth, fields)
             inner = own.get("regions")
             if inner is not None:
@@ -278,7 +284,15 @@ def _queue(ix: Index, t: int, where: tuple, lists: dict[int, tuple], texts: list
         texts.append((ix.field(t), where))
 
 
-def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _flattener(wanted: frozenset | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _flatten(batches, wanted)
+
+    return run
+
+
+def _flatten(batches: Iterator[pa.RecordBatch], wanted: frozenset | None = None) -> Iterator[pa.RecordBatch]:
+    some = lambda n: wanted is None or n in wanted
     for batch in batches:
         ids = [batch.column(k).to_pylist() for k in (0, 2, 3)]
         for first, buf, starts in text_runs(batch, RUN_BYTES):
@@ -288,25 +302,25 @@ def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # The page: the outermost object, or the object under its key "page".
             roots = np.flatnonzero((ix.kind == _OPEN) & (ix.byte == 0x7B) & (ix.box == -1))
             roots = roots[ix.whole[ix.doc[roots]]]
-            members = _members(ix, names, roots)
+            members = _members(ix, names, roots, wanted)
             page_of = {}
             for r in roots.tolist():
                 p = members[r].get("page")
                 page_of[r] = p if p is not None and ix.kind[p] == _OPEN and ix.byte[p] == 0x7B else r
-            members |= _members(ix, names, np.array([p for r, p in page_of.items() if p != r], np.int64))
+            members |= _members(ix, names, np.array([p for r, p in page_of.items() if p != r], np.int64), wanted)
             pictures = {p: t for p in page_of.values() if (t := members[p].get("image")) is not None and ix.kind[t] == _OPEN and ix.byte[t] == 0x7B}
-            inner = _members(ix, names, np.fromiter(pictures.values(), np.int64, len(pictures)))
+            inner = _members(ix, names, np.fromiter(pictures.values(), np.int64, len(pictures)), wanted)
             frontier: dict[int, tuple] = {}
             for r, p in page_of.items():
                 k = first + int(ix.doc[r])
                 owner = tuple(col[k] for col in ids)
                 own = members[p]
-                rows.add(*owner, "page", None, None, None, 0, [(n, ix.field(v)) for n, v in own.items() if n not in ("regions", "image")])
+                rows.add(*owner, "page", None, None, None, 0, [(n, ix.field(v)) for n, v in own.items() if n not in ("regions", "image") and some(n)])
                 if p in pictures:
-                    rows.add(*owner, "image", None, None, None, 0, [(n, ix.field(v)) for n, v in inner[pictures[p]].items()])
+                    rows.add(*owner, "image", None, None, None, 0, [(n, ix.field(v)) for n, v in inner[pictures[p]].items() if some(n)])
                 if "regions" in own:
                     _queue(ix, own["regions"], (owner, None, 1), frontier, texts)
-            _emit_regions(ix, names, frontier, rows, texts)
+            _emit_regions(ix, names, frontier, rows, texts, wanted)
             while texts:  # lists that came as JSON text are indexed in turn
                 raw = [t.encode("utf-8", "surrogatepass") for t, _ in texts]
                 ends = np.cumsum([0] + [len(x) for x in raw])
@@ -314,19 +328,19 @@ def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lists = np.flatnonzero((sub.kind == _OPEN) & (sub.byte == 0x5B) & (sub.box == -1))
                 frontier = {int(t): texts[sub.doc[t]][1] for t in lists if sub.whole[sub.doc[t]]}
                 texts = []
-                _emit_regions(sub, sub.names(), frontier, rows, texts)
+                _emit_regions(sub, sub.names(), frontier, rows, texts, wanted)
             yield rows.batch()
 
 
-def flatten(raw: DataFrame, raw_id: str = "raw_id", page_id: str = "page_id", payload: str = "payload", received: str = "received_at") -> DataFrame:
-    """Linked rows of each page's latest whole payload, as a stage table (columns: ROW_DDL)."""
+def flatten(raw: DataFrame, raw_id: str = "raw_id", page_id: str = "page_id", payload: str = "payload", received: str = "received_at", fields: Iterable[str] | None = None) -> DataFrame:
+    """Linked rows of each page's latest whole payload, as a stage table (columns: ROW_DDL), with the named ``fields`` or all."""
     slim = require(raw, raw_id, page_id, payload, received).select(
         F.col(raw_id).cast("bigint").alias("raw_id"),
         F.col(payload).cast("string").alias("payload"),
         F.col(page_id).cast("bigint").alias("page_id"),
         F.unix_micros(F.col(received).cast("timestamp_ltz")).alias("at"),
     )
-    rows = stage(slim.where("page_id IS NOT NULL AND payload IS NOT NULL").mapInArrow(_flatten, ROW_DDL), "nested-rows")
+    rows = stage(slim.where("page_id IS NOT NULL AND payload IS NOT NULL").mapInArrow(_flattener(None if fields is None else frozenset(fields)), ROW_DDL), "nested-rows")
     order = F.struct(F.coalesce("at", F.lit(-(1 << 62))), F.coalesce("raw_id", F.lit(-(1 << 62))))
     latest = rows.where("kind = 'page'").groupBy("page_id").agg(F.max(order).alias("o"))
     return rows.withColumn("o", order).join(latest, ["page_id", "o"], "left_semi").drop("o")

@@ -43,16 +43,6 @@ def predicted(regions: Column, page_id: Column) -> Column:
     return F.flatten(F.transform(regions, one))
 
 
-# Letters one by one as ASCII, so that edit distances by bytes and by characters agree.
-CYRILLIC = "абвгґдеєжзиіїйклмнопрстуфхцчшщьюяыэъёАБВГҐДЕЄЖЗИІЇЙКЛМНОПРСТУФХЦЧШЩЬЮЯЫЭЪЁ"
-ASCII = "abvgGdeEjzyiI!klmnoprstufhcCwW#UAqQ$@abvgGdeEjzyiI!klmnoprstufhcCwW#UAqQ$@"
-
-
-def ascii_text(text: Column) -> Column:
-    """A text with Cyrillic letters as ASCII and any other character outside ASCII as ``?``."""
-    return F.regexp_replace(F.translate(text, CYRILLIC, ASCII), r"[^ -~\n]", "?")
-
-
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(image, source, annotation_source, regions) with one row for each page."""
     p = pages(spark, sf_dir)

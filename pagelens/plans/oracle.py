@@ -5,7 +5,6 @@ from __future__ import annotations
 from pagelens import constants as C
 from pagelens.functions import prompts as P
 from pagelens.functions import text as T
-from pagelens.plans.adapter import ASCII, CYRILLIC
 
 
 def q(s: str) -> str:
@@ -89,8 +88,11 @@ def normalized(t: str) -> str:
     return f"trim(regexp_replace({e}, {q(SPACES)}, ' ', 'g'))"
 
 
-def ascii_text(t: str) -> str:
-    return f"regexp_replace(translate({t}, {q(CYRILLIC)}, {q(ASCII)}), '[^ -~\n]', '?', 'g')"
+def distance(x: str, y: str) -> str:
+    """Edit distance by code points: those of both texts become one byte each, others a byte that the other text lacks."""
+    code = lambda t, other: f"array_to_string(list_transform(string_split({t}, ''), lambda z: chr(coalesce(list_position(k, z), {other}) + 2)), '')"
+    both = f"list_intersect(list_distinct(string_split({x}, '')), list_distinct(string_split({y}, '')))"
+    return f"list_transform([{both}], lambda k: CASE WHEN len(k) > 120 THEN error('too many letters') WHEN {x} = '' OR {y} = '' THEN greatest(length({x}), length({y})) ELSE levenshtein({code(x, -1)}, {code(y, 0)}) END)[1]"
 
 
 # Truth and predictions of the score queries; idx is the place among regions with four coordinates.
@@ -126,16 +128,20 @@ def counters(norm) -> str:  # noqa: ANN001
     return f"""{MATCHED},
 tn AS (SELECT *, {norm('text')} AS n FROM truth), pn AS (SELECT *, {norm('text')} AS n FROM pred),
 per_match AS (
-  SELECT m.page_id, (p.type = t.type)::INT AS class_ok, CASE WHEN {scorable} THEN levenshtein(p.n, t.n)::DOUBLE / greatest(1, length(t.n)) END AS cer
+  SELECT m.page_id, (p.type = t.type)::INT AS class_ok, CASE WHEN {scorable} THEN {distance('p.n', 't.n')}::DOUBLE / greatest(1, length(t.n)) END AS cer
   FROM matches m JOIN pn p ON p.page_id = m.page_id AND p.idx = m.pred_idx JOIN tn t ON t.page_id = m.page_id AND t.idx = m.truth_idx),
 mc AS (SELECT page_id, count(*) AS tp, sum(class_ok) AS class_ok, sum(cer) AS cer_sum, count(cer) AS cer_n FROM per_match GROUP BY page_id),
 tc AS (SELECT page_id, count(*) AS n, string_agg(CASE WHEN {scorable} AND t.n <> '' THEN t.n END, ' ' ORDER BY floor(floor((y1 + y2) / 2.0) / {C.READING_ORDER_ROW_BAND}), x1, idx) AS page_text FROM tn t GROUP BY page_id),
 pc AS (SELECT page_id, count(*) AS n, string_agg(CASE WHEN type NOT IN {isin(C.EMPTY_TEXT_TYPES)} AND n <> '' THEN n END, ' ' ORDER BY floor(floor((y1 + y2) / 2.0) / {C.READING_ORDER_ROW_BAND}), x1, idx) AS page_text FROM pn GROUP BY page_id),
+per_text AS (
+  SELECT g.*, mc.* EXCLUDE (page_id), pc.n AS pn_, tc.n AS tn_, coalesce(pc.page_text, '') AS pt, coalesce(tc.page_text, '') AS tt
+  FROM pages g LEFT JOIN mc USING (page_id) LEFT JOIN tc USING (page_id) LEFT JOIN pc USING (page_id)),
+per_page AS (SELECT *, {distance('pt', 'tt')}::DOUBLE / greatest(1, length(tt)) AS page_cer FROM per_text),
 counters AS (
-  SELECT g.page_id, g.source, g.annotation_source, coalesce(tp, 0) AS tp, coalesce(pc.n, 0) - coalesce(tp, 0) AS fp, coalesce(tc.n, 0) - coalesce(tp, 0) AS fn,
+  SELECT g.page_id, g.source, g.annotation_source, coalesce(tp, 0) AS tp, coalesce(pn_, 0) - coalesce(tp, 0) AS fp, coalesce(tn_, 0) - coalesce(tp, 0) AS fn,
     coalesce(class_ok, 0) AS class_ok, coalesce(cer_sum, 0) AS cer_sum, coalesce(cer_n, 0) AS cer_n,
-    levenshtein(coalesce(pc.page_text, ''), coalesce(tc.page_text, ''))::DOUBLE / greatest(1, length(coalesce(tc.page_text, ''))) AS page_cer
-  FROM pages g LEFT JOIN mc USING (page_id) LEFT JOIN tc USING (page_id) LEFT JOIN pc USING (page_id))"""
+    page_cer
+  FROM per_page g)"""
 
 
 SCORES = f"""count(*) AS pages, sum(tp)::DOUBLE AS tp_, sum(tp)::DOUBLE / greatest(1, sum(tp) + sum(fp)) AS precision_, sum(tp)::DOUBLE / greatest(1, sum(tp) + sum(fn)) AS recall_,
@@ -148,7 +154,7 @@ FINAL = """pages, tp_::BIGINT AS matched_regions, round(precision_, 6) AS precis
 
 def grouped(where: str = "true") -> str:
     key = lambda c: f"coalesce(nullif({c}, ''), 'unknown')"
-    return f"""WITH {counters(ascii_text)},
+    return f"""WITH {counters(normalized)},
 keyed AS (SELECT * EXCLUDE (source, annotation_source), {key('source')} AS source, {key('annotation_source')} AS annotation_source FROM counters),
 sums AS (
   SELECT 'overall' AS grouping, 'overall' AS key, {SCORES} FROM keyed
@@ -182,8 +188,31 @@ found AS (
   SELECT page_id, i::VARCHAR AS region_path, o FROM (SELECT page_id, unnest(range(json_array_length(r)::BIGINT)) AS i, unnest(json_extract(r, '$[*]')) AS o FROM read_ WHERE json_type(r) = 'ARRAY') WHERE json_type(o) = 'OBJECT'
   UNION ALL
   SELECT page_id, region_path || '/' || i, o FROM (
-    SELECT page_id, region_path, unnest(range(json_array_length(r)::BIGINT)) AS i, unnest(json_extract(r, '$[*]')) AS o FROM (SELECT page_id, region_path, json_extract(o, '$.regions') AS r FROM found) WHERE json_type(r) = 'ARRAY') WHERE json_type(o) = 'OBJECT')
-SELECT page_id, region_path FROM found"""
+    SELECT page_id, region_path, unnest(range(json_array_length(r)::BIGINT)) AS i, unnest(json_extract(r, '$[*]')) AS o FROM (SELECT page_id, region_path, json_extract(o, '$.regions') AS r FROM found) WHERE json_type(r) = 'ARRAY') WHERE json_type(o) = 'OBJECT')\n"""
+# Pages with the object that holds their fields; a page's object lies under a key or is the whole payload.
+NESTED_PAGES = NESTED.replace("tops AS", "owners AS (SELECT page_id, CASE WHEN json_type(p, '$.page') = 'OBJECT' THEN json_extract(p, '$.page') ELSE p END AS o FROM valid),\ntops AS").replace("SELECT page_id, payload::JSON AS p", "SELECT page_id, raw_id, payload::JSON AS p")
+
+
+def field(o: str, name: str, kind: str = "") -> str:
+    v = f"({o}->>'$.{name}')"
+    return (f"TRY_CAST({v} AS {kind})" if kind else v) + f' AS "{name}"'
+
+
+# Results of stand-in models that see a page's own regions.
+INFERENCE = f"""WITH {CLAMPED}, bbox_ AS (SELECT *, '[' || x1 || ',' || y1 || ',' || x2 || ',' || y2 || ']' AS bbox FROM clean),
+raw_ AS (SELECT b.page_id, b.pos, b.bbox, b.band, b.x1, c.type AS raw_type, b.type AS known_type, c.text AS text FROM bbox_ b JOIN cut c USING (page_id, pos)),
+said AS (SELECT page_id, {strip('text')} AS line, pos FROM regs),
+lines AS (SELECT page_id, line, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k, count(*) OVER (PARTITION BY page_id) AS n FROM said WHERE line <> ''),
+bands AS (
+  SELECT page_id, least(image_height - 1, (k - 1) * h) AS y1, greatest(CASE WHEN k = n THEN image_height ELSE least(image_height, least(image_height - 1, (k - 1) * h) + h) END, least(image_height - 1, (k - 1) * h) + 1) AS y2, image_width AS x2, image_height, line, k
+  FROM (SELECT l.*, image_width, image_height, greatest(1, image_height // n) AS h FROM lines l JOIN pages USING (page_id))),
+fit AS (SELECT page_id, greatest(0, y1) AS y1, greatest(0, least(image_height, y2)) AS y2, x2, line, k FROM bands),
+found AS (
+  SELECT 'detector' AS mode, page_id, bbox, band, x1, pos, raw_type AS type, text FROM raw_
+  UNION ALL SELECT 'page-vlm', page_id, bbox, band, x1, pos, known_type, text FROM raw_
+  UNION ALL SELECT 'page-text', page_id, '[0,' || y1 || ',' || x2 || ',' || y2 || ']', floor(floor((y1 + y2) / 2.0) / {C.READING_ORDER_ROW_BAND})::BIGINT, 0, k, 'handwritten', line FROM fit WHERE x2 > 0 AND y2 > y1),
+results AS (SELECT mode, page_id, (row_number() OVER (PARTITION BY mode, page_id ORDER BY band, x1, pos) - 1)::INTEGER AS place, bbox, type, CASE WHEN type IN {isin(C.EMPTY_TEXT_TYPES)} THEN '' ELSE text END AS text FROM found)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -202,7 +231,29 @@ def oracle_sql() -> dict[str, str]:
       UNION ALL SELECT page_id, 'extra ' || e, 1000 + e FROM pages, range(1, 3) r(e) WHERE page_id % 3 >= e),
     lines AS (SELECT page_id, line, row_number() OVER (PARTITION BY page_id ORDER BY k) AS k, count(*) OVER (PARTITION BY page_id) AS n FROM lines1 WHERE page_id % 5 <> 0 OR k > 1)"""
     return {
-        "p1_found": NESTED,
+        "p1_found": f"{NESTED} SELECT page_id, region_path FROM found",
+        "p1_regions": f"""{NESTED} SELECT page_id, region_path, nullif(regexp_replace(region_path, '/?[0-9]+$', ''), '') AS parent_path, regexp_extract(region_path, '[0-9]+$')::INTEGER AS place, len(string_split(region_path, '/'))::INTEGER AS depth,
+            {field('o', 'type')}, {field('o', 'text')}, {field('o', 'language')}, {field('o', 'legibility')}, {field('o', 'confidence', 'DOUBLE')} FROM found""",
+        "p1_boxes": f"""{NESTED}, b AS (SELECT page_id, region_path, CASE json_type(o, '$.bbox') WHEN 'ARRAY' THEN list_transform(json_extract(o, '$.bbox[*]'), lambda x: TRY_CAST(x->>'$' AS DOUBLE))
+            WHEN 'OBJECT' THEN [TRY_CAST(o->>'$.bbox.x1' AS DOUBLE), TRY_CAST(o->>'$.bbox.y1' AS DOUBLE), TRY_CAST(o->>'$.bbox.x2' AS DOUBLE), TRY_CAST(o->>'$.bbox.y2' AS DOUBLE)] END AS b FROM found)
+          SELECT page_id, region_path, b[1] AS x1, b[2] AS y1, b[3] AS x2, b[4] AS y2 FROM b WHERE len(b) = 4 AND len(list_filter(b, lambda v: v IS NULL)) = 0""",
+        "p1_pages": f"""{NESTED_PAGES} SELECT page_id, raw_id, {', '.join(field('o', c) for c in ('file_name', 'source', 'annotation_source', 'fund', 'content_type', 'subject', 'group'))},
+            {', '.join(field('o', c, 'INTEGER') for c in ('image_width', 'image_height', 'year', 'grade'))} FROM owners JOIN valid USING (page_id)""",
+        "p1_images": f"""{NESTED_PAGES}, i AS (SELECT page_id, json_extract(o, '$.image') AS i FROM owners WHERE json_type(o, '$.image') = 'OBJECT')
+          SELECT page_id, {field('i', 'path')}, {field('i', 'src')}, {field('i', 'width', 'INTEGER')}, {field('i', 'height', 'INTEGER')} FROM i""",
+        "ensemble_merge": f"""WITH {PAIRS},
+            cand AS (SELECT x.page_id, x.pred_idx, list(x.truth_idx ORDER BY x.iou DESC, x.truth_idx DESC) AS c FROM pairs x JOIN pred p ON p.page_id = x.page_id AND p.idx = x.pred_idx JOIN truth t ON t.page_id = x.page_id AND t.idx = x.truth_idx WHERE p.type = t.type GROUP BY ALL),
+            steps AS (SELECT p.page_id, list(coalesce(c, []) ORDER BY idx) AS c, count(*) AS n FROM pred p LEFT JOIN cand ON cand.page_id = p.page_id AND pred_idx = idx GROUP BY 1),
+            used AS (SELECT page_id, n, list_reduce(list_prepend([]::INTEGER[], c), lambda acc, x: list_append(acc, coalesce(list_filter(x, lambda y: NOT list_contains(acc, y))[1], -1))) AS u FROM steps),
+            took AS (SELECT page_id, unnest(u) AS truth_idx, unnest(range(len(u)))::INTEGER AS pred_idx FROM used)
+          SELECT p.page_id, p.idx AS place, p.x1::INTEGER AS x1, p.y1::INTEGER AS y1, p.x2::INTEGER AS x2, p.y2::INTEGER AS y2, p.type, CASE WHEN p.text = '' AND t.idx IS NOT NULL THEN t.text ELSE p.text END AS text
+          FROM pred p JOIN took k ON k.page_id = p.page_id AND k.pred_idx = p.idx LEFT JOIN truth t ON t.page_id = p.page_id AND t.idx = k.truth_idx
+          UNION ALL
+          SELECT t.page_id, (coalesce(n, 0) + row_number() OVER (PARTITION BY t.page_id ORDER BY idx) - 1)::INTEGER, x1::INTEGER, y1::INTEGER, x2::INTEGER, y2::INTEGER, type, text FROM truth t LEFT JOIN used USING (page_id)
+          WHERE t.page_id % 23 <> 0 AND NOT coalesce(list_contains(u, idx), false)""",
+        "inference_regions": INFERENCE + "SELECT mode, page_id, place, bbox, type, text FROM results",
+        "inference_modes": INFERENCE + """SELECT mode, count(*) - count(DISTINCT r.page_id) AS empty_pages FROM (SELECT unnest(['empty', 'detector', 'page-vlm', 'page-text']) AS mode) m CROSS JOIN pages p LEFT JOIN (SELECT DISTINCT mode, page_id FROM results) r USING (mode, page_id) GROUP BY mode""",
+        "score_normalized": grouped(),
         "normalize_pages": f"WITH {PAGES} SELECT page_id, file_name, image_name, image_width, image_height, source, split, len(rs) AS n_regions FROM pages",
         "predictions_last_wins": """WITH named AS (SELECT *, coalesce(nullif(file_name, ''), nullif(image.path, ''), image.src) AS name FROM page_records)
           SELECT split_part(name, '/', -1) AS image, max(row_id) AS row_id, arg_max(page_id, row_id) AS page_id FROM named WHERE name IS NOT NULL GROUP BY ALL""",
@@ -232,7 +283,7 @@ def oracle_sql() -> dict[str, str]:
         "stratified_split": "WITH " + split_sql(f"{CLAMPED}, rows_ AS (SELECT DISTINCT file_name, source FROM clean WHERE split IN ('train', 'silver'))", "file_name", 0.15, 42, "val", "train") + " SELECT file_name, source, split FROM splits",
         "train_eval_split": "WITH " + split_sql(f"{sft}, rows_ AS (SELECT id, source FROM sft)", "id", 0.1, 42, "eval", "train") + " SELECT source, split, count(*) AS n, min(id) AS first_id FROM splits GROUP BY ALL",
         "val_semi_join": "WITH " + split_sql(f"{CLAMPED}, rows_ AS (SELECT DISTINCT file_name, source FROM clean WHERE split IN ('train', 'silver'))", "file_name", 0.15, 42, "val", "train") + """
-          , named_ AS (SELECT DISTINCT p.image_name FROM pages p JOIN (SELECT file_name, max(split) AS split FROM splits GROUP BY 1) s USING (file_name) WHERE s.split = 'val' AND p.split IN ('train', 'silver') AND p.page_id IN (SELECT page_id FROM clean))
+          , named_ AS (SELECT DISTINCT p.image_name FROM pages p JOIN (SELECT file_name, arg_max(split, source) AS split FROM splits GROUP BY 1) s USING (file_name) WHERE s.split = 'val' AND p.split IN ('train', 'silver') AND p.page_id IN (SELECT page_id FROM clean))
           SELECT page_id, image_name FROM pages SEMI JOIN named_ USING (image_name)""",
         "sft_filter": f"WITH {sft} SELECT region_type, source, count(*) AS n, sum(length(answer))::BIGINT AS chars FROM sft WHERE image <> '' AND quality_weight >= 0.75 GROUP BY ALL",
         "sample_weights": "SELECT region_key, greatest(coalesce(quality_weight, 1.0), 0.01)::DOUBLE AS weight FROM region_rows QUALIFY row_number() OVER (PARTITION BY region_key ORDER BY exported_at DESC) = 1",
@@ -242,9 +293,9 @@ def oracle_sql() -> dict[str, str]:
           SELECT line.region_key, count(*) AS draws FROM drawn ASOF JOIN line ON drawn.at >= line.lo GROUP BY 1""",
         "iou_pairs": f"WITH {PAIRS} SELECT page_id, pred_idx, truth_idx, round(iou, 6) AS iou FROM pairs",
         "greedy_match": f"WITH {MATCHED} SELECT page_id, pred_idx, truth_idx FROM matches",
-        "page_counters": f"WITH {counters(ascii_text)} SELECT page_id, source, annotation_source, tp::BIGINT AS tp, fp::BIGINT AS fp, fn::BIGINT AS fn, class_ok::BIGINT AS class_ok, round(cer_sum, 6) AS cer_sum, cer_n::BIGINT AS cer_n, round(page_cer, 6) AS page_cer FROM counters",
-        "page_cer": f"WITH {counters(ascii_text)} SELECT page_id, round(page_cer, 6) AS page_cer FROM counters",
-        "score_overall": f"WITH {counters(ascii_text)}, sums AS (SELECT {SCORES} FROM counters) SELECT {FINAL} FROM sums",
+        "page_counters": f"WITH {counters(normalized)} SELECT page_id, source, annotation_source, tp::BIGINT AS tp, fp::BIGINT AS fp, fn::BIGINT AS fn, class_ok::BIGINT AS class_ok, round(cer_sum, 6) AS cer_sum, cer_n::BIGINT AS cer_n, round(page_cer, 6) AS page_cer FROM counters",
+        "page_cer": f"WITH {counters(normalized)} SELECT page_id, round(page_cer, 6) AS page_cer FROM counters",
+        "score_overall": f"WITH {counters(normalized)}, sums AS (SELECT {SCORES} FROM counters) SELECT {FINAL} FROM sums",
         "score_by_source": grouped("grouping = 'source'"),
         "score_by_annotation_source": grouped("grouping = 'annotation_source'"),
         "score_grouping_sets": grouped(),

@@ -40,8 +40,8 @@ def _round(df: DataFrame, *columns: str) -> DataFrame:
 # Problems of the core.
 
 
-def _nested(spark: SparkSession, d: str) -> DataFrame:
-    return nested.flatten(table(prepare(spark), d, "page_raw"))
+def _nested(spark: SparkSession, d: str, *fields: str) -> DataFrame:
+    return nested.flatten(table(prepare(spark), d, "page_raw"), fields=fields)
 
 
 @query
@@ -53,25 +53,25 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p1_pages(spark: SparkSession, d: str) -> DataFrame:
     """The pages of page_raw."""
-    return nested.page_table(_nested(spark, d))
+    return nested.page_table(_nested(spark, d, "file_name", "image_width", "image_height", "source", "annotation_source", "year", "fund", "content_type", "grade", "subject", "group"))
 
 
 @query
 def p1_images(spark: SparkSession, d: str) -> DataFrame:
     """Image objects with their page."""
-    return nested.image_table(_nested(spark, d))
+    return nested.image_table(_nested(spark, d, "path", "src", "width", "height"))
 
 
 @query
 def p1_regions(spark: SparkSession, d: str) -> DataFrame:
     """Regions at any depth with page and parent region."""
-    return nested.region_table(_nested(spark, d))
+    return nested.region_table(_nested(spark, d, "type", "text", "language", "legibility", "confidence"))
 
 
 @query
 def p1_boxes(spark: SparkSession, d: str) -> DataFrame:
     """Boxes with page and region."""
-    return nested.bbox_table(_nested(spark, d))
+    return nested.bbox_table(_nested(spark, d, "bbox"))
 
 
 @query
@@ -277,7 +277,7 @@ def greedy_match(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _counters(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.page_counters(A.truth(spark, d), A.predictions(spark, d), normalize=A.ascii_text)
+    return metrics.page_counters(A.truth(spark, d), A.predictions(spark, d))
 
 
 @query
@@ -412,19 +412,54 @@ def submission_join(spark: SparkSession, d: str) -> DataFrame:
     return match.submission(sample_rows, c.where("page_id % 7 <> 0").select(F.col("file_name").alias("image"), "regions", F.col("page_id").alias("_ord")))
 
 
-@query
-def inference_modes(spark: SparkSession, d: str) -> DataFrame:
-    """Inference with models that answer nothing: pages that came out empty, by mode."""
-    from pagelens.operators.infer import MODES, empty_pages, run_inference
+def _seeing_detector():
+    """Stand-in detector: an image is the JSON text of the page's own regions."""
+    import json
 
-    p = A.pages(spark, d)
+    return lambda images: [json.loads(x) for x in images]
+
+
+def _seeing_model():
+    """Stand-in page model: it writes the regions of its image in a fence, after some talk."""
+    return lambda images, prompts, tokens: [f"```json\nfound: {x}\n```" for x in images]
+
+
+def _reading_model():
+    """Stand-in text model: the texts of its image's regions, in their order; nothing where there are none."""
+    import json
+
+    def answer(image: str) -> str:
+        texts = [r["text"] for r in json.loads(image)]
+        return json.dumps(texts, ensure_ascii=False) if texts else ""
+
+    return lambda images, prompts, tokens: [answer(x) for x in images]
+
+
+def _inferred(spark: SparkSession, d: str) -> DataFrame:
+    """(mode, image, regions) of all pages by stand-in models; image is the page's id."""
+    from pagelens.operators.infer import run_inference
+
+    p = A.pages(spark, d).withColumn("image_name", F.col("page_id").cast("string")).withColumn("image_path", F.to_json("regions"))
     out = None
-    for m in MODES:
-        one = empty_pages(run_inference(p, m)).withColumn("mode", F.lit(m))
+    for m in ("empty", "detector", "page-vlm", "page-text"):
+        one = run_inference(p, m, _seeing_detector, _reading_model if m == "page-text" else _seeing_model).withColumn("mode", F.lit(m))
         out = one if out is None else out.unionByName(one)
     return out
 
 
+@query
+def inference_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Final regions of stand-in models, by mode."""
+    r = _inferred(spark, d).select("mode", F.col("image").cast("bigint").alias("page_id"), F.posexplode("regions").alias("place", "r"))
+    return r.select("mode", "page_id", "place", _box(F.col("r.bbox")).alias("bbox"), "r.type", "r.text")
+
+
+@query
+def inference_modes(spark: SparkSession, d: str) -> DataFrame:
+    """Pages without regions after inference with stand-in models, by mode."""
+    return _inferred(spark, d).groupBy("mode").agg(F.count_if(F.size("regions") == 0).alias("empty_pages"))
+
+
 # Packing and listings.
 
 
