@@ -1,12 +1,16 @@
 """Template residue, filler, error pages and script notices in place of content.
 
 Labelled exemplars of residue are kept in an inverted index from term to exemplar.  Each document is cut
-into passage windows (a sentence, or a line where no sentence ends).  A window retrieves the exemplars
-that share terms with it.  An exemplar counts as held where the window contains it by TF-IDF weight
-(``HOLD``); the window counts as residue where held exemplars, at least one of them a full message,
-cover its own TF-IDF weight (``COVER``).  So a sentence that only mentions "error 503" holds an exemplar but
-isn't covered.  Unfilled template fields are terms of their own, found by their syntax; one that is
-quoted, is code or is part of a formula is not a field.
+into passage windows: a sentence, a line where no sentence ends, and inside it each run of terms that gives a message
+in full and in order.  A window retrieves the exemplars that share terms with it.  An exemplar counts as held where
+the window contains it by TF-IDF weight (``HOLD``); the window counts as residue where held exemplars, at least
+one of them a full message, cover its own TF-IDF weight (``COVER``).  So a sentence that only mentions "error 503"
+holds an exemplar but isn't covered.
+
+An unfilled template field is a term too, found by its syntax, and an exemplar of one term; its window is the field
+itself, since fields stand in the middle of real sentences.  One that is quoted, is code or is part of a formula is
+not a field.  Some exemplars are labelled as mentions: neither a field nor a run inside a sentence that holds one of them, and no
+run in a sentence with quotation marks, counts.
 
 Weights are inverse document frequencies over all documents.  A term outside all exemplars weighs as
 one that stands in a single document; therefore a window whose share of exemplar terms is under COVER
@@ -27,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelens.llm.exemplars import labelled
 from pagelens.llm.leakage import words
 from pagelens.session import require, stage
 
@@ -35,28 +40,6 @@ HOLD, COVER = 0.8, 0.75
 #: Different words of a filler vocabulary that a window must contain.
 FILLER_WORDS = 3
 
-# Wordings of residue.
-MESSAGES = [
-    "404 Not Found", "403 Forbidden", "429 Too Many Requests", "500 Internal Server Error", "502 Bad Gateway", "503 Service Unavailable", "504 Gateway Timeout",
-    "You have no access to this folder", "The request took too long", "Something broke on our side", "The scan you asked for does not exist",
-    "Viewer is down for maintenance", "Slow down and try later", "The upstream reader gave no answer", "Page not found", "Access denied", "This site is under construction",
-    "Помилка шлюзу", "Сервіс тимчасово недоступний", "Доступ заборонено", "Забагато запитів", "Час очікування вичерпано", "Сторінку не знайдено", "Внутрішня помилка сервера",
-    "Страница не найдена", "Доступ запрещён", "Внутренняя ошибка сервера", "Сервис временно недоступен",
-    "Тут буде текст", "Текст сторінки з'явиться згодом", "Приклад тексту для заповнення", "Content coming soon", "Sample text goes here", "Placeholder paragraph", "Your text here",
-    "Здесь будет текст", "Insert text here",
-]
-OPENINGS = ["Please enable", "You need to enable", "Turn on", "This viewer requires", "Увімкніть", "Включите", "Ваш браузер не підтримує", "Для перегляду сканів потрібен", "Your browser does not support"]
-SCRIPTS = ["JavaScript", "java script", "JS", "scripts", "скрипти", "скрипты"]
-#: What stands beside a message and is no residue alone.
-COMPANIONS = [
-    "and reload the page", "to view this page", "щоб побачити сторінку", "у налаштуваннях", "і оновіть сторінку", "in your browser",
-    "Error 500", "HTTP 500", "Помилка 500", "Ошибка 500", "Request id 0", "viewer 1 0", "Go back to the start page",
-    "Спробуйте пізніше або поверніться на головну", "Зверніться до адміністратора архіву", "Try again later",
-]
-FILLERS = [
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat",
-    "asdf qwer zxcv йцук фіва фыва xxx test тест",
-]
 # Syntax of template fields.
 _NAME = r"[^\W\d][\w.\- ]*[^\W_]"
 FIELD = re.compile(
@@ -70,6 +53,7 @@ FIELD = re.compile(
     | %\({_NAME}\)s
     | \[\s*(?:INSERT|ВСТАВТЕ|ВСТАВИТИ|тут\ вкажіть|вкажіть|вставьте)\b[^\]\n]{{1,60}}\]
     | <\s*(?:your\b[^<>\n]{{1,60}}\bhere|(?:вставити|вставьте|insert)\s*:[^<>\n]{{1,60}})>
+    | \[(?:(?:Your|Company|Full|First|Last|Phone|Street|Project|Client|Product)\s)*(?:Name|Date|Title|Address|Number|Email|Phone|Company|City|Author|Subject|Year)\]
     | \bTODO:\s*{_NAME.replace(" ", "")}
     """,
     re.VERBOSE,
@@ -79,8 +63,9 @@ _QUOTES = "«\"“„'‘`"
 _BREAK = re.compile(r"(?<=[.!?…])\s+|[\n\r\x0b\x0c\x85\u2028\u2029]+")
 _NUMBER = re.compile(r"\d[\w]*|[0-9a-f]{8,}")
 _HINT = re.compile(r"[{$<\[@%_]|TODO")
-MARK, NUMBER = "field", "#"
-_MARK_TEXT = " "
+#: Terms of a template field (a word that the text itself can hardly have) and of a number.
+MARK, NUMBER = "fieldmark\u0a72field", "#"
+_QUOTED = re.compile("[«»“”„\"`]")
 
 
 def terms(passage: str) -> list[str]:
@@ -88,46 +73,54 @@ def terms(passage: str) -> list[str]:
     return [NUMBER if w[0].isdigit() or _NUMBER.fullmatch(w) else w for w in words(passage)]
 
 
-def mark_fields(text: str) -> tuple[str, int]:
-    """The text without code spans and template fields, and the number of fields."""
+def mark_fields(text: str) -> str:
+    """The text without code spans and with MARK in place of each template field."""
     if not _HINT.search(text):
-        return text, 0
+        return text
     if "`" in text:
         text = _CODE.sub(" ", text)
-    count = 0
 
     def one(m: re.Match) -> str:
-        nonlocal count
         before, after = text[: m.start()][-1:], text[m.end() : m.end() + 1]
         if m[0].startswith("{{") and (before in "}" and before or re.search(r"\\\w+\{?$", text[max(0, m.start() - 40) : m.start()])):
             return m[0]
         if before and before in _QUOTES and after and after in "»\"”“'’`":
             return " "
-        count += 1
-        return _MARK_TEXT
+        return f" {MARK} "
 
-    return FIELD.sub(one, text), count
+    return FIELD.sub(one, text)
 
 
 class Exemplars:
-    """Inverted index of labelled exemplars: kind 2 a full message, 1 a companion, 0 a filler vocabulary."""
+    """Inverted index of the labelled exemplars from term to exemplar, and the messages by their first term."""
 
     def __init__(self) -> None:
-        self.all: list[tuple[int, frozenset[str]]] = []
+        self.all: list[tuple[int, frozenset[str]]] = [(2, frozenset((MARK,)))]
+        self.messages: dict[str, set[tuple[str, ...]]] = defaultdict(set)
         seen = set()
-        notices = [f"{o} {s}" for o in OPENINGS for s in SCRIPTS]
-        for kind, texts in ((2, MESSAGES + notices), (1, COMPANIONS), (0, FILLERS)):
-            for t in texts:
-                e = (kind, frozenset(terms(t)))
-                if e not in seen:
-                    seen.add(e)
-                    self.all.append(e)
+        for kind, text in labelled():
+            t = terms(text)
+            e = (kind, frozenset(t))
+            if e not in seen:
+                seen.add(e)
+                self.all.append(e)
+            if kind == 2 and len(t) > 1:
+                self.messages[t[0]].add(tuple(t))
         self.by_term: dict[str, list[int]] = defaultdict(list)
         for k, (_, e) in enumerate(self.all):
             for t in e:
                 self.by_term[t].append(k)
         self.vocabulary = frozenset(self.by_term)
 
+    def runs(self, passage: list[str]) -> list[list[str]]:
+        """The messages that stand in the passage in full and in order."""
+        found = []
+        for i, t in enumerate(passage):
+            for m in self.messages.get(t, ()):
+                if tuple(passage[i : i + len(m)]) == m:
+                    found.append(list(m))
+        return found
+
     def is_residue(self, passage: list[str], weight: dict[str, float], unknown: float) -> bool:
         """Whether held exemplars cover the passage, a message or a filler among them."""
         have = set(passage)
@@ -137,34 +130,52 @@ class Exemplars:
         for k in {k for t in have if t != NUMBER for k in self.by_term.get(t, ())}:
             kind, e = self.all[k]
             both = e & have
+            if kind == 3:
+                continue
             if len(both) >= FILLER_WORDS if not kind else sum(map(w, both)) >= HOLD * sum(map(w, e)):
                 held |= both
                 full |= kind != 1
         return full and sum(w(t) for t in passage if t in held) >= COVER * sum(map(w, passage))
 
+    def is_mention(self, known: list[str]) -> bool:
+        """Whether the terms hold a mention; its two or three terms weigh much alike, so all must be there."""
+        have = set(known)
+        return any(self.all[k][0] == 3 and self.all[k][1] <= have for t in have for k in self.by_term.get(t, ()))
+
+
+def windows(text: str, exemplars: Exemplars) -> tuple[list[list[str]], set[str]]:
+    """Passages of a text that may be residue, and the exemplars' terms in it."""
+    vocabulary, out, seen = exemplars.vocabulary, [], set()
+    for unit in _BREAK.split(mark_fields(text)):
+        t = terms(unit)
+        known = [x for x in t if x in vocabulary]
+        if not known:
+            continue
+        seen.update(known)
+        if MARK in known and not exemplars.is_mention(known):
+            out.append([MARK])
+        if len(known) < 2 and known[0] == NUMBER:
+            continue
+        if len(known) >= COVER * len(t):
+            if any(x != NUMBER for x in known):
+                out.append(t)
+        elif len(known) > 1 and not _QUOTED.search(unit) and (runs := exemplars.runs(t)) and not exemplars.is_mention(known):
+            out += runs
+    return out, seen
+
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents to windows that may be residue, and statistics: term, documents with it (null term: all)."""
-    vocabulary = Exemplars().vocabulary
+    exemplars = Exemplars()
     for batch in batches:
         ids, passages, df = [], [], Counter()
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             df[None] += 1
-            if not text:
-                continue
-            text, fields = mark_fields(text)
-            if fields:
-                ids.append(i), passages.append([MARK])
-            in_doc: set[str] = set()
-            for unit in _BREAK.split(text):
-                t = terms(unit)
-                known = [x for x in t if x in vocabulary]
-                if not known:
-                    continue
-                in_doc.update(known)
-                if not fields and len(known) >= COVER * len(t) and any(x != NUMBER for x in known):
-                    ids.append(i), passages.append(t)
-            df.update(in_doc)
+            if text:
+                found, seen = windows(text, exemplars)
+                ids += [i] * len(found)
+                passages += found
+                df.update(seen)
         n = len(ids)
         yield pa.RecordBatch.from_arrays([
             pa.array(ids + [None] * len(df), pa.int64()),
@@ -181,7 +192,7 @@ def _scorer(weights):  # a Broadcast of (weights, weight of other terms)
         for batch in batches:
             found = set()
             for i, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if i not in found and (p == [MARK] or exemplars.is_residue(p, weight, unknown)):
+                if i not in found and exemplars.is_residue(p, weight, unknown):
                     found.add(i)
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["doc_id"])
 

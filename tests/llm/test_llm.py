@@ -354,11 +354,16 @@ RESIDUE = [
     "Lorem ipsum dolor sit amet elit.", "Текст\n\n404 Not Found\nRequest id: 3dceae775a21\n\nтекст", "Please enable java script to view this page.", "Ваш браузер не підтримує скрипти у налаштуваннях.",
     "Тут буде текст. Тут буде текст.", "Вода {{ автор | upper }} тече", "Вода ${scan_date} тече", "a <%= file.count %> b", "[[НАЗВА]]", "@@grade@@", "%%PAGE_TITLE%%", "__АВТОР__", "Title: %(shelf_mark)s",
     "{% block grade %}{% endblock %}", "[INSERT SCAN DATE]", "[тут вкажіть автор]", "<вставити: subject>", "<your fund name here>", "коли TODO: дата тут", "Error 403: You have no access to this folder", "HTTP 502 — Помилка шлюзу",
+    "Something went wrong. Please try again.", "You don't have permission to access this resource.", "JavaScript must be enabled", "Під час обробки запиту сталася помилка.", "Dear [Company Name]", "Title: [Date]",
+    "обкладинка аркуш справа Please enable JavaScript to view this page а далі опис фонду і перелік аркушів", "menu list of funds 404 Not Found back to shelf and the list of all years",
+    "Вода {{ автор }} тече. Помилка 503 траплялася тричі.",
     "asdf qwer йцук xxx тест", "Хліб · Вода\nВключите JS.\n© 2017", "Тут бу​де тeкст.",
 ]
 CONTENT = [
     "Слово «lorem» у прописах узято як зразок шрифту.", "Помилка 503 траплялася тричі, доки ми переносили скани.", "У рядку 404 книги обліку стоїть ціна.", "На уроці пояснили, що таке JavaScript і навіщо він сторінкам.",
     "Опис полів шаблону: `{{назва}}` замінюється назвою, а `${author}` числом.", r"Формула \mathbf{{x}} + {{y}}_{2} переписана з дошки.", r"In LaTeX we write \frac{{a}}{{b}} with both braces.", "Мітка «{{дата}}» стоїть у картці.",
+    "The template uses {{ name }} as a field, as the guide explains.", "У полі шаблону {{дата}} пишуть число.", 'We once read "Please enable JavaScript to view this page" on the old site and laughed.',
+    "The message 404 Not Found means that the shelf has no such folder in it.", "[sic] [нрзб] [Kyiv]",
     "____________", "[закреслено] ~~a~~{b} [нрзб] (?)", "", None, "   ", "21.05.2005", "A row of lorem ipsum was once printed to test the font.", "404", "y = 12x^{2} - 3x + 7", "Turn on.",
 ]
 
