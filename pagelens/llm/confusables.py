@@ -2,7 +2,7 @@
 
 A token's letters each have a *resolved script set*: the scripts that have a letter of that shape.
 The intersection over the token names the scripts in which the whole token could be written; from it
-the consistent spelling is selected (Cyrillic before Latin before Greek).  A token whose intersection
+the consistent spelling is selected (in the order of PREFERENCE).  A token whose intersection
 is empty has no spelling in one script and is spelled letter by letter in the same order.  Since script
 sets depend on the shape only, equal-looking tokens always get the same spelling.
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,17 +25,39 @@ from pyspark.sql import functions as F
 
 from pagelens.session import require, stage
 
-# Letters of one shape, in the order Latin, Cyrillic, Greek; a dot where a script has none.
+# Letters of one shape in usual type, small ones first; the first of a script is the one that is written.
 SHAPES = (
-    "aа. cс. dԁ. eе. hһ. iі. jј. lӏ. oоο pр. qԛ. sѕ. wԝ. xх. yу. "
-    "AАΑ BВΒ CС. EЕΕ HНΗ IІΙ JЈ. KКΚ MМΜ N.Ν OОΟ PРΡ SЅ. TТΤ XХΧ YҮΥ Z.Ζ WԜ. QԚ. .ГΓ .ПΠ .ФΦ"
+    "aаɑ cсϲ dԁ eе gɡց hһ iі jјϳ lӏ nո oоοօ pрρ qԛզ sѕ uս vνѵ wԝ xх yуү "
+    "AАΑᎪ BВΒᏴ CСϹᏟ DᎠ EЕΕᎬ GԌᏀ HНΗᎻ IІΙӀ JЈͿᎫ KКΚᏦ LᏞ MМΜᎷϺ NΝ OОΟՕ PРΡᏢ QԚ RᎡ SЅՏᏚ TТΤᎢ UՍ VѴᏙ WԜᎳ XХΧ YҮΥ ZΖᏃ ГΓ ПΠ ФΦ"
 ).split()
-#: Scripts in the order of preference, as places in an entry of SHAPES.
-PREFERENCE = (1, 0, 2)
+#: Scripts by the first word of a letter's name, in the order of preference for spelling.
+PREFERENCE = ("CYRILLIC", "LATIN", "GREEK", "ARMENIAN", "CHEROKEE")
 
-_shape = {c: s for s in SHAPES for c in s if c != "."}
-#: For each letter of a shared shape: the scripts that have it.
-SCRIPTS = {c: frozenset(k for k in range(3) if s[k] != ".") for c, s in _shape.items()}
+
+# Cyrillic letters of shared shapes that texts in the corpus' languages hardly have; a spelling without them is preferred.
+_RARE = re.compile("[ԁԍһјӏԛѕѵԝүЅЈӀԌѴԜҮԚ]")
+
+
+def _script(c: str) -> str | None:
+    """The letter's script; None for marks, signs and other scripts."""
+    if c not in _script_of:
+        first = unicodedata.name(c, "").split(" ", 1)[0]
+        _script_of[c] = first if first in PREFERENCE else None
+    return _script_of[c]
+
+
+_script_of: dict[str, str | None] = {}
+
+
+def _written(shape: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for c in shape:
+        out.setdefault(_script(c), c)
+    return out
+
+
+#: For each letter of a shared shape: the letter of that shape by script.
+TWINS = {c: _written(s) for s in SHAPES for c in s}
 
 # Characters without a visible form beside category Cf.
 _BLANK = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x3164, 0xFFA0}
@@ -43,17 +66,17 @@ ZWJ = "\u200d"
 _TOKEN = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f]+[^\W\d_]*)*")
 _JOINED = re.compile("(?<=[^\u0000-\u2fff])\u200d(?=[^\u0000-\u2fff])")
 #: Texts of these characters only are in the consistent form, unless they begin or end with a space.
-_PLAIN = re.compile(r"(?:[^\W\d_a-zA-Zª-ϿѠ-\U0010ffff]|[0-9 !-/:-@\[-`{-~№])*")
+_PLAIN = re.compile(r"(?:[^\W\d_a-zA-Zª-ϿѠ-\U0010ffffЅЈѕј]|[0-9 !-/:-@\[-`{-~№])*")
 
 
 def _general() -> dict[int, str | None]:
-    """Character table for all that doesn't depend on the token: spaces, wide forms, invisible characters."""
+    """Character table for all that doesn't depend on the token: spaces, wide, narrow and styled forms, Roman numerals, invisible characters."""
     out: dict[int, str | None] = {}
-    for o in range(0x110000):
-        if 0x4E00 <= o < 0xA000 or 0xAC00 <= o < 0xD800 or 0xD800 <= o < 0xE000 or 0x20000 <= o < 0xE0000:
-            continue
+    # Only these blocks have such characters.
+    for o in [o for a, b in ((0, 0x3200), (0xFE00, 0x10000), (0x110B0, 0x110D0), (0x13430, 0x13460), (0x1BCA0, 0x1BCB0), (0x1D100, 0x1D800), (0xE0000, 0xE0200)) for o in range(a, b)]:
         c = chr(o)
         kind = unicodedata.category(c)
+        form = unicodedata.decomposition(c).split(" ", 1)[0]
         if kind == "Zs" or c == "\t":
             out[o] = " "
         elif o in (0x2010, 0x2011):  # hyphens drawn as the usual one
@@ -62,7 +85,7 @@ def _general() -> dict[int, str | None]:
             out[o] = "\n"
         elif kind == "Cf" and c != ZWJ or o in _BLANK:
             out[o] = None
-        elif o >= 0xFF00 and unicodedata.decomposition(c).startswith("<wide>"):
+        elif o >= 0xFF00 and form in ("<wide>", "<narrow>") or 0x1D400 <= o < 0x1D800 and form == "<font>" or 0x2160 <= o < 0x2180 and form == "<compat>":
             out[o] = unicodedata.normalize("NFKC", c)
     return out
 
@@ -70,57 +93,56 @@ def _general() -> dict[int, str | None]:
 _GENERAL = _general()
 
 
-def _spelled(token: str) -> str:
-    common = None
-    shared = False
+def resolved(token: str) -> tuple[set[str], frozenset[str] | None, bool]:
+    """The scripts of a token's letters, the scripts in which all of it could be written (None: no letter), and whether any shape is shared."""
+    used, common, shared = set(), None, False
     for c in token:
-        s = SCRIPTS.get(c)
-        if s is None:
-            k = _script(c)
-            if k is None:
-                continue
-            s = frozenset((k,))
-        else:
-            shared = True
-        common = s if common is None else common & s
+        k = _script(c)
+        if k is None:
+            continue
+        used.add(k)
+        twins = TWINS.get(c)
+        could = frozenset(twins) if twins else frozenset((k,))
+        shared |= len(could) > 1
+        common = could if common is None else common & could
+    return used, common, shared
+
+
+def _spelled(token: str) -> str:
+    _, common, shared = resolved(token)
     if not shared:
         return token
-    if common:
-        k = next(k for k in PREFERENCE if k in common)
-        return "".join(_shape[c][k] if c in _shape else c for c in token)
-    return "".join(next(_shape[c][k] for k in PREFERENCE if k in SCRIPTS[c]) if c in _shape else c for c in token)
+    whole = [k for k in PREFERENCE if k in (common or ())]
+    spellings = ["".join(TWINS[c][k] if c in TWINS else c for c in token) for k in whole] or ["".join(_letter(c) for c in token)]
+    return next((x for x in spellings if not _RARE.search(x)), spellings[0])
 
 
-_script_of: dict[str, int | None] = {}
+def _letter(c: str) -> str:
+    """A letter of a token that no script can write whole: the first of its shape that is usual."""
+    twins = [TWINS[c][k] for k in PREFERENCE if k in TWINS[c]] if c in TWINS else [c]
+    return next((x for x in twins if not _RARE.search(x)), twins[0])
 
 
-def _script(c: str) -> int | None:
-    """Place of the letter's script in SHAPES' order; None for marks and for other scripts."""
-    if c not in _script_of:
-        name = unicodedata.name(c, "")
-        _script_of[c] = next((k for k, s in enumerate(("LATIN", "CYRILLIC", "GREEK")) if name.startswith(s)), None)
-    return _script_of[c]
+def token_kind(token: str) -> str:
+    """single, mixed (letters of several scripts) or whole (all of it could be of another script)."""
+    used, common, _ = resolved(unicodedata.normalize("NFD", token))
+    return "mixed" if len(used) > 1 else "whole" if common and len(common) > 1 else "single"
 
 
-def consistent(text: str | None) -> str | None:
-    """The consistent form of a text; null stays null."""
-    if text is None or _PLAIN.fullmatch(text):
-        return text.strip(" ") if text else text
+def _plain(text: str) -> str:
+    """The text without what doesn't depend on the token, decomposed."""
     t = text.replace("\r\n", "\n").replace("\r", "\n").translate(_GENERAL)
     if ZWJ in t:  # visible only where it joins pictographs
         t = _JOINED.sub("\x00", t).replace(ZWJ, "").replace("\x00", ZWJ)
-    t = _TOKEN.sub(lambda m: _spelled(m[0]), unicodedata.normalize("NFD", t))
-    return unicodedata.normalize("NFC", t).strip(" \n")
+    return unicodedata.normalize("NFD", t)
 
 
-def token_kind(token: str) -> str:
-    """single, mixed (letters of several scripts) or whole (every letter could be of another script)."""
-    letters = [c for c in unicodedata.normalize("NFD", token) if _script(c) is not None]
-    used = {_script(c) for c in letters}
-    if len(used) > 1:
-        return "mixed"
-    sets = [SCRIPTS.get(c, frozenset((_script(c),))) for c in letters]
-    return "whole" if sets and len(frozenset.intersection(*sets)) > 1 else "single"
+def consistent(text: str | None) -> str | None:
+    """The consistent form of a text; null stays null."""
+    if text is None or _PLAIN.fullmatch(text):
+        return text.strip(" ") if text else text
+    t = _TOKEN.sub(lambda m: _spelled(m[0]), _plain(text))
+    return unicodedata.normalize("NFC", t).strip(" \n")
 
 
 def consistent_text(col: Column | str) -> Column:
@@ -166,6 +188,23 @@ def look_digests(rows: DataFrame, key: str, text: str, version: str | None = Non
     return last.select("k", "x.look", "x.chars").where("look IS NOT NULL")
 
 
+def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        seen, n = {}, Counter()
+        for t in batch.column(0).to_pylist():
+            for token in _TOKEN.findall(_plain(t)):
+                if token not in seen:
+                    seen[token] = token_kind(token)
+                n[seen[token]] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["kind", "tokens"])
+
+
+def token_kinds(rows: DataFrame, text: str = "text") -> DataFrame:
+    """(kind, tokens): how many tokens of a text column are mixed, whole or single by ``token_kind``; nulls have none."""
+    t = require(rows, text).where(F.col(text).isNotNull()).select(F.col(text).cast("string"))
+    return t.mapInArrow(_kinds, "kind string, tokens bigint").groupBy("kind").agg(F.sum("tokens").alias("tokens"))
+
+
 def look_alike_pairs(digests: DataFrame) -> DataFrame:
     """(a, b): all pairs of keys, a < b, whose texts look the same but have different characters.
 

@@ -57,9 +57,9 @@ def _word_table() -> dict[int, str | None]:
         out[o] = None
     # Letters that share a shape in either case are one letter here.
     for s in SHAPES:
-        to = next(c for c in s if c != ".").lower()
+        to = s[0].lower()
         for c in s:
-            if c != "." and c.lower() != to:
+            if c.lower() != to:
                 out[ord(c.lower())] = to
     for o, v in list(out.items()):
         if v and len(v) == 1 and ord(v) in out and out[ord(v)] and v not in " \n-'":

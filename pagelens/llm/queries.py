@@ -62,6 +62,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look_alike_pairs(look_digests(rows, "region_key", "text", "exported_at")).toDF("region_a", "region_b")
 
 
+def p4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of region texts by kind: of several scripts, of one that could be another, or of one."""
+    from pagelens.llm.confusables import token_kinds
+
+    return token_kinds(table(prepare(spark), sf_dir, "region_rows"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of each document by byte_bpe_50k."""
     from pagelens.llm.encode import encode_corpus
@@ -85,7 +92,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_split": p2_split, "p2_split_totals": p2_split_totals, "p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p2_found": p2_found, "p2_split": p2_split, "p2_split_totals": p2_split_totals, "p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_tokens": p4_tokens, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 
 
 P2_FOUND_SQL = r"""
@@ -110,22 +117,33 @@ SELECT unnest(['train', 'val', 'test']) AS split, unnest([n - 2 * k, k, k]) AS p
 """
 
 
+# Letters drawn alike, written out: Cyrillic, Greek and other letters to Latin ones, or Greek to Cyrillic ones.
+_DRAWN = "асԁеһіјӏорԛѕԝхуүοϲρν" "АВСЕНІӀЈКМОРЅТХҮԜԚ" "ΑΒΕΗΙΚΜΝΟΡΤΧΥΖϹ" "ΓΠΦ"
+_AS = "acdehijlopqswxyyocpv" "ABCEHIIJKMOPSTXYWQ" "ABEHIKMNOPTXYZC" "ГПФ"
+
+
 def _look_sql() -> str:
     """Shapes letter by letter: the same classes as the script sets give, since those depend on the shape only."""
-    from pagelens.llm.confusables import SHAPES
-
-    shapes = [("".join(c for c in s[1:] if c != "."), s[0]) for s in SHAPES if s[0] != "."]
-    frm, to = "".join(a for a, _ in shapes), "".join(b * len(a) for a, b in shapes)
     wide = "".join(map(chr, range(0xFF01, 0xFF5F)))
     plain = "".join(map(chr, range(0x21, 0x7F))).replace("'", "''")
     t = "regexp_replace(text, '[\\x{ad}\\x{34f}\\x{200b}-\\x{200f}\\x{2060}-\\x{2064}\\x{feff}]', '', 'g')"
     t = f"translate({t}, '{wide}', '{plain}')"
     t = f"regexp_replace({t}, '[\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{202f}}\\x{{205f}}\\x{{3000}}\\t]', ' ', 'g')"
-    t = f"translate({t}, '{frm}', '{to}')"  # marks stay behind their letters
+    t = f"translate({t}, '{_DRAWN}', '{_AS}')"  # marks stay behind their letters
     t = f"translate(nfc_normalize({t}), 'ёЁїЇ', 'ëËïÏ')"
     return f"trim({t})"
 
 
+# Tokens by script: several scripts, or one whose letters all have twins in a second one.
+P4_TOKENS_SQL = r"""
+WITH t AS (SELECT nfc_normalize(regexp_replace(translate(text, 'ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'), '[\x{ad}\x{34f}\x{200b}-\x{200f}\x{2060}-\x{2064}\x{feff}]', '', 'g')) AS t FROM region_rows WHERE text IS NOT NULL),
+w AS (SELECT unnest(regexp_extract_all(t, '[\p{L}\p{No}\p{Nl}][\p{L}\p{M}\p{No}\p{Nl}]*')) AS w FROM t),
+k AS (SELECT regexp_replace(translate(w, 'ёЁїЇйЙ', 'еЕіІиИ'), '[^\p{Latin}\p{Cyrillic}\p{Greek}]', '', 'g') AS w FROM w)
+SELECT CASE WHEN regexp_matches(w, '\p{Latin}')::INT + regexp_matches(w, '\p{Cyrillic}')::INT + regexp_matches(w, '\p{Greek}')::INT > 1 THEN 'mixed'
+  WHEN regexp_full_match(w, '[acdehijlopqsvwxyABCEGHIJKMOPQSTVWXY]+|[acjopvcABCEHIJKMNOPTXYZ]+|[ghnoqsuOSU]+|[ABCDEGHJKLMPRSTVWZ]+|[асԁеһіјӏорԛѕѵԝхуүАВСЕԌНІӀЈКМОРԚЅТѴԜХҮ]+|[соруѵАВСЕНІӀЈКМОРТХҮГПФ]+|[оОЅ]+|[АВСЕԌНЈКМРЅТѴԜ]+|[οϲϳρνΑΒϹΕΗΙͿΚΜϺΝΟΡΤΧΥΖΓΠΦ]+') AND w <> '' THEN 'whole' ELSE 'single' END AS kind, count(*) AS tokens FROM k GROUP BY 1
+"""
+
+
 def _p4_sql() -> str:
     return f"""
 WITH last_ AS (SELECT region_key, text FROM region_rows WHERE region_key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY region_key ORDER BY exported_at DESC NULLS LAST) = 1),
@@ -136,4 +154,4 @@ FROM looks a JOIN looks b ON a.look = b.look AND a.text < b.text WHERE a.look <>
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND_SQL, "p2_split_totals": P2_TOTALS_SQL, "p4_found": _p4_sql()}
+    return {"p2_found": P2_FOUND_SQL, "p2_split_totals": P2_TOTALS_SQL, "p4_found": _p4_sql(), "p4_tokens": P4_TOKENS_SQL}
