@@ -42,6 +42,8 @@ PASSAGE = 12
 SLIPS = 2
 #: Words in a block; PASSAGE words with SLIPS slips hold one untouched block for any cut into blocks.
 BLOCK = 3
+#: Positions that are expanded at a time, unless one term alone has more in a segment.
+EXPANDED = 1 << 20
 #: Words of items that are broadcast at a time; more items go in several rounds.
 ROUND_WORDS = 2_000_000
 
@@ -169,35 +171,53 @@ def passages(query: Query, row: dict[str, np.ndarray]) -> Iterator[tuple[int, in
     at = np.searchsorted(terms, query.rare)
     known = (at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == query.rare)
     q = np.flatnonzero(known)
-    begin = np.concatenate([[0], ends])[at[q]]
-    count = ends[at[q]] - begin
-    q = np.repeat(q, count)
-    inner = np.arange(len(q)) - np.repeat(np.cumsum(count) - count, count)
-    shift = positions[np.repeat(begin, count) + inner].astype(np.int64) - query.offset[q]  # where the item would begin
-    base = shift + query.start[q]
-    ok = (base >= 0) & (base < starts[-1])
-    q, shift, base = q[ok], shift[ok], base[ok]
-    for k in range(BLOCK):
-        want = query.block[k][q]
-        ok = (want == -9) | (line[base + k] == want)
-        q, shift, base = q[ok], shift[ok], base[ok]
-    if not len(q):
+    first = np.concatenate([[0], ends])[at[q]]
+    count = (ends[at[q]] - first).astype(np.int64)
+    found = []
+    part = np.cumsum(count) // EXPANDED  # blocks whose lists are expanded together
+    for low, high in zip(*_runs(part)):
+        found.append(_alignments(query, line, positions, int(starts[-1]), q[low:high], first[low:high], count[low:high]))
+    if not found:
         return
+    item, base, shift = (np.concatenate(x) for x in zip(*found))
     doc = np.searchsorted(starts, base, side="right") - 1
-    seen = np.unique(np.stack([query.item[q], doc, shift], 1), axis=0)
+    seen = np.unique(np.stack([item, doc, shift], 1), axis=0)
     for i, d, s in seen.tolist():
         want = query.terms[i]
-        n = len(want)
-        lo, hi = max(0, int(starts[d]) - s), min(n, int(starts[d + 1]) - 1 - s)
-        equal = np.zeros(n, np.int32)
-        equal[lo:hi] = line[s + lo : s + hi] == want[lo:hi]
-        w = min(PASSAGE, n)
+        # Only the words of the item that lie over the document.
+        lo, hi = max(0, int(starts[d]) - s), min(len(want), int(starts[d + 1]) - 1 - s)
+        w = min(PASSAGE, len(want))
         if hi - lo < w:
             continue
-        total = np.concatenate([[0], np.cumsum(equal[lo:hi])])
+        total = np.zeros(hi - lo + 1, np.int32)
+        np.cumsum(line[s + lo : s + hi] == want[lo:hi], out=total[1:])
         yield d, i, int((total[w:] - total[:-w]).max())
 
 
+def _runs(x: np.ndarray) -> tuple[list[int], list[int]]:
+    """Bounds of the runs of equal values."""
+    if not len(x):
+        return [], []
+    edges = np.flatnonzero(x[1:] != x[:-1]) + 1
+    return [0, *edges.tolist()], [*edges.tolist(), len(x)]
+
+
+def _alignments(query: Query, line: np.ndarray, positions: np.ndarray, size: int, q: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, where the block stands, where the item would begin) of the blocks ``q`` whose words all stand at their offsets."""
+    inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    shift = positions[np.repeat(first, count) + inner].astype(np.int64)
+    q = np.repeat(q, count)
+    shift -= query.offset[q]
+    base = shift + query.start[q]
+    ok = (base >= 0) & (base < size)
+    q, shift, base = q[ok], shift[ok], base[ok]
+    for k in range(BLOCK):
+        want = query.block[k][q]
+        ok = (want == -9) | (line[base + k] == want)
+        q, shift, base = q[ok], shift[ok], base[ok]
+    return query.item[q], base, shift
+
+
 def slips_allowed(width: int) -> int:
     """Slips in a window: two in twelve words, fewer in shorter items."""
     return SLIPS if width >= PASSAGE else width // 6

@@ -339,6 +339,21 @@ def test_leaked_items(spark):
     assert PASSAGE == 12
 
 
+def test_lists_are_expanded_in_parts(monkeypatch):
+    import numpy as np
+
+    from pagelens.llm import leakage
+
+    rng = random.Random(5)
+    line = np.array([rng.randrange(4) for _ in range(400)] + [-1])
+    at = np.argsort(line[:-1], kind="stable")
+    row = {"starts": np.array([0, 401]), "terms": np.arange(4), "positions": at, "ends": np.cumsum(np.bincount(line[:-1]))}
+    query = leakage.Query([(7, line[100:130].tolist()), (8, [3, 0, 1] * 5)], {0: 5, 1: 6, 2: 7, 3: 8})
+    whole = list(leakage.passages(query, row))
+    monkeypatch.setattr(leakage, "EXPANDED", 3)
+    assert list(leakage.passages(query, row)) == whole and (0, 0, 12) in whole
+
+
 def test_many_rounds_of_items(spark, monkeypatch):
     from pagelens.llm import leakage
 
