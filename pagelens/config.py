@@ -57,6 +57,16 @@ def load_env(path: str = ".env", override: bool = False) -> dict[str, str]:
     return found
 
 
+def load_preset(path: str | None, name: str | None) -> dict[str, Any]:
+    """The named entry below ``presets`` of a YAML or JSON file; empty without a name, an error for an unknown one."""
+    if not name:
+        return {}
+    known = (load_config(path).get("presets") if path else None) or {}
+    if name not in known:
+        raise ValueError(f"unknown preset {name!r}; there are: {', '.join(sorted(known)) or 'none'}")
+    return known[name] or {}
+
+
 def dig(config: Any, *keys: str, default: Any = None) -> Any:
     """A nested setting; the default where a step is missing."""
     for k in keys:

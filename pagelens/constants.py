@@ -23,3 +23,4 @@ RAW_PAGE = (
     "file_name string, image struct<path:string,src:string,width:int,height:int>, image_width int, image_height int, source string, "
     f"annotation_source string, year int, fund string, content_type string, grade int, subject string, `group` string, regions array<{RAW_REGION}>"
 )
+SFT_ROW = "id string, image string, task string, region_type string, source string, annotation_source string, quality_weight double, prompt string, answer string"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +82,22 @@ def page_text_sft_rows(curated: DataFrame) -> DataFrame:
     return rows.where("size(answer) > 0")
 
 
+def serialize_answers(rows: DataFrame) -> DataFrame:
+    """Training rows with the answer as text: answers that are JSON (lists, objects) in its spaced form, and a prompt where none is given.
+
+    ``rows`` has ``answer`` as text: a plain one, or the JSON text of a nested one.
+    """
+    @F.pandas_udf("string")
+    def spaced(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: json.dumps(json.loads(t), ensure_ascii=False))
+
+    nested = F.col("answer").rlike(r"^[\[{]") & F.try_parse_json("answer").isNotNull()
+    kind = F.col("region_type") if "region_type" in rows.columns else F.lit(None).cast("string")
+    prompt = full(F.col("prompt")) if "prompt" in rows.columns else F.lit(None).cast("string")
+    out = rows.withColumn("prompt", F.coalesce(prompt, region_prompt(F.col("source"), kind)))
+    return out.withColumn("answer", F.when(nested, spaced(F.when(nested, F.col("answer")).otherwise("null"))).otherwise(F.col("answer")))
+
+
 def source_counts(pages: DataFrame) -> DataFrame:
     return pages.groupBy(F.coalesce(full(F.col("source")), F.lit("unknown")).alias("source")).agg(F.count("*").alias("pages"))
 

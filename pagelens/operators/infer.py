@@ -17,7 +17,7 @@ from pagelens.constants import DEFAULT_IOU, REGION_STRUCT, TRANSCRIBED_TYPES
 from pagelens.functions.jsonrepair import extract_array, regions_from_items, text_lines
 from pagelens.operators.match import _with_text, assign_lines, band_regions, finalize_regions, merge_regions
 
-MODES = ["empty", "detector", "page-vlm", "page-text", "detector-page-text", "ensemble"]
+MODES = ["empty", "detector-vlm", "page-vlm", "page-text-vlm", "detector-page-text", "ensemble"]
 TOKENS, RETRY_TOKENS = 1024, 2048
 
 
@@ -51,19 +51,23 @@ def retry_budget(tokens: int) -> int | None:
     return min(2 * tokens, RETRY_TOKENS) if tokens < RETRY_TOKENS else None
 
 
-def answers(image: Column, prompt: Column, factory: Factory, tokens: int = TOKENS, usable: Callable[[str], bool] | None = None) -> Column:
-    """The model's answers, a batch at a time; only unusable ones are asked again with the larger budget."""
+def answers(image: Column, prompt: Column, factory: Factory, tokens: int = TOKENS, usable: Callable[[str], bool] | None = None, batch_size: int | None = None) -> Column:
+    """The model's answers, ``batch_size`` rows at a time (None: an Arrow batch); only unusable ones are asked again with the larger budget."""
+
+    def asked(model: BatchModel, a: list[str], b: list[str], budget: int) -> list[str]:
+        size = batch_size or max(1, len(a))
+        return [t for i in range(0, len(a), size) for t in model(a[i : i + size], b[i : i + size], budget)]
 
     @F.pandas_udf("string")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = factory()
         for images, prompts in batches:
             a, b = images.fillna("").tolist(), prompts.fillna("").tolist()
-            out = model(a, b, tokens)
+            out = asked(model, a, b, tokens)
             more = retry_budget(tokens)
             again = [i for i, t in enumerate(out) if usable is not None and not usable(t)] if more else []
             if again:
-                for i, t in zip(again, model([a[i] for i in again], [b[i] for i in again], more)):
+                for i, t in zip(again, asked(model, [a[i] for i in again], [b[i] for i in again], more)):
                     out[i] = t
             yield pd.Series(out)
 
@@ -103,6 +107,10 @@ def run_inference(
     page_model: Factory = empty_model,
     region_model: Factory | None = None,
     threshold: float = DEFAULT_IOU,
+    confidence: float = 0.0,
+    page_tokens: int = TOKENS,
+    region_tokens: int = 192,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """(image, regions): final regions of every page; the mode alone decides which models are asked.
 
@@ -115,24 +123,24 @@ def run_inference(
     w, h, path = F.col("image_width"), F.col("image_height"), F.col("image_path")
     none = F.array().cast(f"array<{REGION_STRUCT}>")
     p = pages.withColumn("image", F.col("image_name"))
-    found = detections(path, detector) if mode in ("detector", "detector-page-text", "ensemble") else none
+    found = detections(path, detector, confidence) if mode in ("detector-vlm", "detector-page-text", "ensemble") else none
     p = p.withColumn("__d", F.coalesce(found, none))
     if mode in ("page-vlm", "ensemble"):
-        p = p.withColumn("__a", answers(path, page_regions_prompt(F.col("source")), page_model, usable=lambda t: "{" in t))
+        p = p.withColumn("__a", answers(path, page_regions_prompt(F.col("source")), page_model, page_tokens, lambda t: "{" in t, batch_size))
         p = p.withColumn("__p", F.transform(regions_from_items(extract_array(F.col("__a"))["items"], w, h), lambda r: r.cast(REGION_STRUCT)))
-    if mode in ("page-text", "detector-page-text"):
-        p = p.withColumn("__l", text_lines(answers(path, page_lines_prompt(F.col("source")), page_model)))
+    if mode in ("page-text-vlm", "detector-page-text"):
+        p = p.withColumn("__l", text_lines(answers(path, page_lines_prompt(F.col("source")), page_model, page_tokens, None, batch_size)))
     regions = {
         "empty": none,
-        "detector": F.col("__d"),
+        "detector-vlm": F.col("__d"),
         "page-vlm": F.col("__p") if mode == "page-vlm" else none,
         "ensemble": merge_regions(F.col("__p"), F.col("__d"), threshold) if mode == "ensemble" else none,
-        "page-text": band_regions(F.col("__l"), w, h) if mode == "page-text" else none,
+        "page-text-vlm": band_regions(F.col("__l"), w, h) if mode == "page-text-vlm" else none,
         "detector-page-text": assign_lines(F.col("__d"), F.col("__l"), w, h) if mode == "detector-page-text" else none,
     }[mode]
     p = p.withColumn("regions", finalize_regions(regions, w, h))
     if region_model is not None:
-        p = transcribe_empty(p, "regions", region_model)
+        p = transcribe_empty(p, "regions", region_model, region_tokens)
     return p.select("image", "regions")
 
 

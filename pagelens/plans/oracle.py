@@ -208,9 +208,9 @@ bands AS (
   FROM (SELECT l.*, image_width, image_height, greatest(1, image_height // n) AS h FROM lines l JOIN pages USING (page_id))),
 fit AS (SELECT page_id, greatest(0, y1) AS y1, greatest(0, least(image_height, y2)) AS y2, x2, line, k FROM bands),
 found AS (
-  SELECT 'detector' AS mode, page_id, bbox, band, x1, pos, raw_type AS type, text FROM raw_
+  SELECT 'detector-vlm' AS mode, page_id, bbox, band, x1, pos, raw_type AS type, text FROM raw_
   UNION ALL SELECT 'page-vlm', page_id, bbox, band, x1, pos, known_type, text FROM raw_
-  UNION ALL SELECT 'page-text', page_id, '[0,' || y1 || ',' || x2 || ',' || y2 || ']', floor(floor((y1 + y2) / 2.0) / {C.READING_ORDER_ROW_BAND})::BIGINT, 0, k, 'handwritten', line FROM fit WHERE x2 > 0 AND y2 > y1),
+  UNION ALL SELECT 'page-text-vlm', page_id, '[0,' || y1 || ',' || x2 || ',' || y2 || ']', floor(floor((y1 + y2) / 2.0) / {C.READING_ORDER_ROW_BAND})::BIGINT, 0, k, 'handwritten', line FROM fit WHERE x2 > 0 AND y2 > y1),
 results AS (SELECT mode, page_id, (row_number() OVER (PARTITION BY mode, page_id ORDER BY band, x1, pos) - 1)::INTEGER AS place, bbox, type, CASE WHEN type IN {isin(C.EMPTY_TEXT_TYPES)} THEN '' ELSE text END AS text FROM found)
 """
 
@@ -252,7 +252,7 @@ def oracle_sql() -> dict[str, str]:
           SELECT t.page_id, (coalesce(n, 0) + row_number() OVER (PARTITION BY t.page_id ORDER BY idx) - 1)::INTEGER, x1::INTEGER, y1::INTEGER, x2::INTEGER, y2::INTEGER, type, text FROM truth t LEFT JOIN used USING (page_id)
           WHERE t.page_id % 23 <> 0 AND NOT coalesce(list_contains(u, idx), false)""",
         "inference_regions": INFERENCE + "SELECT mode, page_id, place, bbox, type, text FROM results",
-        "inference_modes": INFERENCE + """SELECT mode, count(*) - count(DISTINCT r.page_id) AS empty_pages FROM (SELECT unnest(['empty', 'detector', 'page-vlm', 'page-text']) AS mode) m CROSS JOIN pages p LEFT JOIN (SELECT DISTINCT mode, page_id FROM results) r USING (mode, page_id) GROUP BY mode""",
+        "inference_modes": INFERENCE + """SELECT mode, count(*) - count(DISTINCT r.page_id) AS empty_pages FROM (SELECT unnest(['empty', 'detector-vlm', 'page-vlm', 'page-text-vlm']) AS mode) m CROSS JOIN pages p LEFT JOIN (SELECT DISTINCT mode, page_id FROM results) r USING (mode, page_id) GROUP BY mode""",
         "score_normalized": grouped(),
         "normalize_pages": f"WITH {PAGES} SELECT page_id, file_name, image_name, image_width, image_height, source, split, len(rs) AS n_regions FROM pages",
         "predictions_last_wins": """WITH named AS (SELECT *, coalesce(nullif(file_name, ''), nullif(image.path, ''), image.src) AS name FROM page_records)

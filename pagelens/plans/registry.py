@@ -441,8 +441,8 @@ def _inferred(spark: SparkSession, d: str) -> DataFrame:
 
     p = A.pages(spark, d).withColumn("image_name", F.col("page_id").cast("string")).withColumn("image_path", F.to_json("regions"))
     out = None
-    for m in ("empty", "detector", "page-vlm", "page-text"):
-        one = run_inference(p, m, _seeing_detector, _reading_model if m == "page-text" else _seeing_model).withColumn("mode", F.lit(m))
+    for m in ("empty", "detector-vlm", "page-vlm", "page-text-vlm"):
+        one = run_inference(p, m, _seeing_detector, _reading_model if m == "page-text-vlm" else _seeing_model).withColumn("mode", F.lit(m))
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelens.functions.text import stem
@@ -87,10 +87,19 @@ def has_image_suffix(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"(\.[^./]+)$", 1)).isin(IMAGE_SUFFIXES)
 
 
-def crop_tasks(regions: DataFrame, image_root: str, target: str) -> DataFrame:
-    """(src, dst, bbox) of the crops that flat region rows name."""
+def page_copies(pages: DataFrame, assignments: DataFrame, target: str) -> DataFrame:
+    """(src, dst) of the image copies of a curated dataset: each page under its split, and assigned pages for the detector."""
+    p = pages.where(F.col("image_path").isNotNull())
+    own = p.select(F.col("image_path").alias("src"), F.concat(F.lit(f"{target}/images/"), "split", F.lit("/"), "image_name").alias("dst"))
+    part = assignments.select("file_name", F.col("split").alias("part")).distinct()
+    detector = p.join(part, "file_name").select(F.col("image_path").alias("src"), F.concat(F.lit(f"{target}/yolo/images/"), "part", F.lit("/"), "image_name").alias("dst"))
+    return own.union(detector).distinct()
+
+
+def crop_tasks(regions: DataFrame, target: str) -> DataFrame:
+    """(src, dst, bbox) of the crops that flat region rows with their page's ``image_path`` name."""
     r = regions.where(F.col("crop").isNotNull())
-    return r.select(F.concat(F.lit(f"{image_root}/"), "page_file_name").alias("src"), F.concat(F.lit(f"{target}/"), "crop").alias("dst"), "bbox")
+    return r.select(F.col("image_path").alias("src"), F.concat(F.lit(f"{target}/"), "crop").alias("dst"), "bbox")
 
 
 def crop_images(tasks: DataFrame, codec: Callable[[], Callable[[bytes, list[int]], bytes]]) -> DataFrame:
@@ -126,12 +135,3 @@ def check_detector_images(files: DataFrame) -> None:
     n = files.agg(F.count_if(has_image_suffix(name)).alias("images"), F.count_if(name.rlike(r"^shard-.*\.tar$")).alias("shards")).first()
     if not n.images:
         raise ValueError("the training images are packed in shards: unpack them first" if n.shards else "there are no training images")
-
-
-def dataset_card(stats: Row, sources: DataFrame, types: DataFrame) -> str:
-    """Markdown summary of a curated dataset from its counts (tables of a row a source and a row a type)."""
-    lines = ["# Curated pages", "", "| Table | Rows |", "| --- | --- |", *[f"| {k.replace('_', ' ')} | {v} |" for k, v in stats.asDict().items()]]
-    for title, df, count in (("Sources", sources, "pages"), ("Region types", types, "regions")):
-        key = next(c for c in df.columns if c != count)
-        lines += ["", f"## {title}", "", *[f"- `{r[key]}`: {r[count]}" for r in df.orderBy(key).collect()]]
-    return "\n".join(lines) + "\n"

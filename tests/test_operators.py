@@ -15,7 +15,7 @@ from pagelens.operators.infer import run_inference
 from pagelens.operators.ordinal import row_numbers, running
 from pagelens.operators.pages import last_wins
 from pagelens.operators.sample import sample_weight, weighted_sample
-from pagelens.sources import scans, sinks
+from pagelens.sources import cards, scans, sinks
 
 
 @pytest.fixture
@@ -75,7 +75,7 @@ def test_crops_and_detector_folder(spark, raw, tmp_path):
     c = C.curate_pages(scans.read_available(spark, raw))
     (tmp_path / "train/images").mkdir()
     (tmp_path / "train/images/page-1.jpg").write_bytes(b"image")
-    tasks = sinks.crop_tasks(C.region_rows(c), f"{raw}/train", f"file://{tmp_path}/out")
+    tasks = sinks.crop_tasks(C.region_rows(c).join(c.select(F.col("file_name").alias("page_file_name"), "image_path"), "page_file_name"), f"file://{tmp_path}/out")
     both = tasks.union(tasks.select(F.lit(f"{raw}/none"), F.lit(f"{raw}/x"), "bbox"))
     got = sinks.crop_images(both, lambda: lambda data, box: data + str(box).encode()).collect()
     assert sorted(r.cropped for r in got) == [False, True]
@@ -86,7 +86,7 @@ def test_crops_and_detector_folder(spark, raw, tmp_path):
         sinks.check_detector_images(files("shard-00000.tar"))
     with pytest.raises(ValueError, match="no training images"):
         sinks.check_detector_images(files("a.txt"))
-    card = sinks.dataset_card(C.curation_stats(c).first(), C.source_counts(c), C.region_type_counts(c))
+    card = cards.dataset_card(C.curation_stats(c).first(), C.source_counts(c), C.region_type_counts(c))
     assert "| pages | 2 |" in card and "- `unknown`: 1" in card and "- `handwritten`: 1" in card
 
 
@@ -226,6 +226,29 @@ def test_big_dirs_get_no_more_shards(spark):
         assert sum(r["count"] for r in plan) == 2004
 
 
+def test_publication_plans(spark):
+    from pagelens.operators import publish
+
+    paths = spark.createDataFrame([(".gitattributes",), ("README.md",), ("a/b/c.jpg",), ("a/d.jpg",), ("z.json",)], "path string")
+    assert sorted(map(tuple, publish.clear_plan(paths).collect())) == [("README.md", False, "files"), ("a", True, "folder:a"), ("z.json", False, "files")]
+    files = spark.createDataFrame([("a", 999_999_999), ("b", 1)], "path string, size_bytes bigint")
+    assert publish.upload_plan(files) == {"files": 2, "size_bytes": 1_000_000_000, "in_parts": True}
+    assert [publish.wait_before_retry(k) for k in range(6)] == [30, 60, 90, 120, 150, None]
+    assert publish.wait_before_retry(1, 7) == 7 and publish.wait_before_retry(50, tries=99) == 300
+
+
+def test_cards():
+    card = cards.adapter_card({"base_model": "base/x", "batch_size": 2, "grad_accum_steps": 8}, "me/adapter")
+    assert card.startswith("---\nbase_model: base/x") and "Effective batch size: `16`" in card and "LoRA rank: `not recorded`" in card
+    assert "# me/det" in cards.detector_card("me/det", "nano", "me/data") and "- me/data" in cards.detector_card(dataset="me/data")
+
+
+def test_serialized_answers(spark):
+    rows = spark.createDataFrame([("a", "[1,{\"т\":null}]", "p", "s", "table"), ("b", "[не JSON", "", "s", "table"), ("c", "текст", None, None, None)], "id string, answer string, prompt string, source string, region_type string")
+    got = {r.id: (r.answer, r.prompt) for r in C.serialize_answers(rows).collect()}
+    assert got["a"] == ('[1, {"т": null}]', "p") and got["b"][0] == "[не JSON" and got["c"][0] == "текст" and got["b"][1] and got["c"][1]
+
+
 def test_audit(spark):
     files = listing(spark, [("a", f"f{i}", 1) for i in range(5)] + [("a\\", "f0", 1)])
     members = spark.createDataFrame([(1, "a", "s0", 0, "f0"), (1, "a", "s0", 0, "f0"), (1, "a", "s0", 1, "f1"), (1, "a", "s1", 0, "f1"), (1, "a", "s9", 0, "f2"), (1, "a", "s0", 2, "f3"), (1, "a", "s0", 3, "gone")], "export_id bigint, dir string, shard string, member_no int, member_name string")
@@ -304,12 +327,12 @@ def test_inference_modes(spark, raw):
     detector = lambda: lambda images: [[box]] * len(images)
     read = lambda mode, **kw: [(r.bbox, r.text) for r in run_inference(pages, mode, detector, model, **kw).first().regions]
     assert read("empty") == []
-    assert read("detector") == [([0, 0, 200, 50], "")]
+    assert read("detector-vlm") == [([0, 0, 200, 50], "")]
     assert read("page-vlm") == [([0, 0, 50, 50], "vlm")]  # the second try has the larger budget
-    assert read("page-text") == [([0, 0, 200, 100], "vlm")]
+    assert read("page-text-vlm") == [([0, 0, 200, 100], "vlm")]
     assert read("detector-page-text") == [([0, 0, 200, 50], "vlm")]
     assert len(read("ensemble")) == 2
-    assert read("detector", region_model=lambda: lambda images, prompts, tokens: ["read"] * len(images)) == [([0, 0, 200, 50], "read")]
+    assert read("detector-vlm", region_model=lambda: lambda images, prompts, tokens: ["read"] * len(images)) == [([0, 0, 200, 50], "read")]
     with pytest.raises(ValueError, match="mode"):
         run_inference(pages, "other")
 
