@@ -230,7 +230,34 @@ def oracle_sql() -> dict[str, str]:
       SELECT page_id, line, row_number() OVER (PARTITION BY page_id ORDER BY band, x1, pos) AS k FROM lines0 WHERE line <> ''
       UNION ALL SELECT page_id, 'extra ' || e, 1000 + e FROM pages, range(1, 3) r(e) WHERE page_id % 3 >= e),
     lines AS (SELECT page_id, line, row_number() OVER (PARTITION BY page_id ORDER BY k) AS k, count(*) OVER (PARTITION BY page_id) AS n FROM lines1 WHERE page_id % 5 <> 0 OR k > 1)"""
+    submission = f"""WITH {CLAMPED}, last_ AS (SELECT image_name, max(page_id) AS page_id FROM pages WHERE page_id % 7 <> 0 GROUP BY 1),
+            js AS (SELECT page_id, '[' || string_agg('{{"bbox":' || {box} || ',"type":' || to_json(type)::VARCHAR || ',"text":' || to_json(text)::VARCHAR || '}}', ',' ORDER BY idx) || ']' AS regions FROM clean GROUP BY 1)
+          SELECT p.page_id, p.image_name AS image, coalesce(js.regions, '[]') AS regions FROM pages p LEFT JOIN last_ l USING (image_name) LEFT JOIN js ON js.page_id = l.page_id WHERE p.split = 'test'"""
+    yolo = f"""WITH {CLAMPED} SELECT page_id, string_agg({number} || ' ' || {eight("(x1 + x2) / 2.0::DOUBLE / image_width")} || ' ' || {eight("(y1 + y2) / 2.0::DOUBLE / image_height")} || ' ' || {eight("(x2 - x1)::DOUBLE / image_width")} || ' ' || {eight("(y2 - y1)::DOUBLE / image_height")}, chr(10) ORDER BY idx) AS label
+          FROM clean WHERE split <> 'test' GROUP BY page_id"""
+    detector = "WITH " + split_sql(f"{CLAMPED}, rows_ AS (SELECT DISTINCT file_name, source FROM clean WHERE split IN ('train', 'silver'))", "file_name", 0.15, 42, "val", "train")
     return {
+        "scan_available": f"WITH {PAGES} SELECT file_name, image_name, image_width, image_height, source, split, len(rs) AS n_regions FROM pages WHERE split IN ('train', 'silver', 'test')",
+        "scan_predictions": f"WITH {SCORED} SELECT t.page_id, count(p.page_id)::INTEGER AS n_regions, coalesce(sum(length(p.text)), 0)::INTEGER AS chars FROM (SELECT page_id FROM pages WHERE page_id % 23 <> 0) t LEFT JOIN pred p USING (page_id) GROUP BY 1",
+        # The answers of the registered list, in order, read by hand.
+        "model_outputs": """SELECT * FROM (VALUES
+            (0, 1, true, NULL, 'а', '[0,0,10,10] printed а uk legible'),
+            (1, 2, true, NULL, 'б]', '[0,0,10,10] handwritten б] uk legible|[5,5,100,20] handwritten  uk legible'),
+            (2, 1, true, NULL, 'в', ''),
+            (3, 1, true, 'salvaged_partial_array', 'г', '[1,2,3,4] handwritten г uk legible'),
+            (4, 2, true, 'salvaged_partial_array', 'ґ|д', ''),
+            (5, 5, true, NULL, 'рядок|7|None', ''),
+            (6, 0, true, NULL, '[]', ''),
+            (7, 0, false, 'json_array_not_found', 'перший|другий', ''),
+            (8, 0, false, 'json_array_not_found', '', ''),
+            (9, 0, false, 'json_array_not_found', 'лише текст', ''),
+            (10, 2, true, NULL, '1|2', ''),
+            (11, 0, false, 'json_array_truncated', '[1,', ''),
+            (12, 0, false, 'json_decode_error', '[x]', '')) t(case_id, items, ok, error, lines, regions)""",
+        "scan_submission": submission,
+        "scan_listing": f"SELECT page_id % 5 || '/' || page_id % 3 || '/' || page_id || '.txt' AS path, strlen(label)::BIGINT AS size_bytes FROM ({yolo})",
+        "val_assignments": f"""{detector}, last_ AS (SELECT file_name, arg_max(split, source) AS split FROM splits GROUP BY 1)
+          SELECT DISTINCT p.file_name, p.image_name AS image, l.split FROM pages p JOIN last_ l USING (file_name) WHERE p.split IN ('train', 'silver') AND p.page_id IN (SELECT page_id FROM clean)""",
         "p1_found": f"{NESTED} SELECT page_id, region_path FROM found",
         "p1_regions": f"""{NESTED} SELECT page_id, region_path, nullif(regexp_replace(region_path, '/?[0-9]+$', ''), '') AS parent_path, regexp_extract(region_path, '[0-9]+$')::INTEGER AS place, len(string_split(region_path, '/'))::INTEGER AS depth,
             {field('o', 'type')}, {field('o', 'text')}, {field('o', 'language')}, {field('o', 'legibility')}, {field('o', 'confidence', 'DOUBLE')} FROM found""",
@@ -276,8 +303,7 @@ def oracle_sql() -> dict[str, str]:
         "curation_stats": f"""WITH {LINES}, per AS (SELECT page_id, count(*) AS regions, count(CASE WHEN has_image AND {transcribed} AND text <> '' AND legibility = 'legible' THEN 1 END) AS crops, any_value({page_where}) AS page FROM clean GROUP BY page_id)
           SELECT (SELECT count(*) FROM pages) AS pages, sum(regions)::BIGINT AS regions, sum(crops)::BIGINT AS vlm_examples, count(CASE WHEN page THEN 1 END) AS page_sft_examples,
             count(CASE WHEN page AND page_id IN (SELECT page_id FROM own WHERE line <> '') THEN 1 END) AS page_text_sft_examples FROM per""",
-        "yolo_labels": f"""WITH {CLAMPED} SELECT page_id, string_agg({number} || ' ' || {eight("(x1 + x2) / 2.0::DOUBLE / image_width")} || ' ' || {eight("(y1 + y2) / 2.0::DOUBLE / image_height")} || ' ' || {eight("(x2 - x1)::DOUBLE / image_width")} || ' ' || {eight("(y2 - y1)::DOUBLE / image_height")}, chr(10) ORDER BY idx) AS label
-          FROM clean WHERE split <> 'test' GROUP BY page_id""",
+        "yolo_labels": yolo,
         "prompts": f"""WITH {CLAMPED}, kinds AS (SELECT DISTINCT source, type FROM clean) SELECT source, type, {region_prompt('source', 'type')} AS region_prompt,
             concat_ws(' ', {q(P.PAGE_REGIONS)}, {case(P.PAGE_SOURCE_HINTS, 'source')}) AS page_prompt, concat_ws(' ', {q(P.PAGE_LINES)}, {case(P.LINE_SOURCE_HINTS, 'source')}) AS lines_prompt FROM kinds""",
         "stratified_split": "WITH " + split_sql(f"{CLAMPED}, rows_ AS (SELECT DISTINCT file_name, source FROM clean WHERE split IN ('train', 'silver'))", "file_name", 0.15, 42, "val", "train") + " SELECT file_name, source, split FROM splits",
@@ -318,9 +344,7 @@ def oracle_sql() -> dict[str, str]:
               UNION ALL
               SELECT page_id, x1, y1, x2, y2, type, '', 200000 + idx FROM clean WHERE type IN {isin(C.EMPTY_TEXT_TYPES)})
           SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY floor(floor((y1 + y2) / 2.0) / {C.READING_ORDER_ROW_BAND}), x1, i) - 1)::INTEGER AS place, x1::INTEGER AS x1, y1::INTEGER AS y1, x2::INTEGER AS x2, y2::INTEGER AS y2, type, text FROM both_""",
-        "submission_join": f"""WITH {CLAMPED}, last_ AS (SELECT image_name, max(page_id) AS page_id FROM pages WHERE page_id % 7 <> 0 GROUP BY 1),
-            js AS (SELECT page_id, '[' || string_agg('{{"bbox":' || {box} || ',"type":' || to_json(type)::VARCHAR || ',"text":' || to_json(text)::VARCHAR || '}}', ',' ORDER BY idx) || ']' AS regions FROM clean GROUP BY 1)
-          SELECT p.page_id, p.image_name AS image, coalesce(js.regions, '[]') AS regions FROM pages p LEFT JOIN last_ l USING (image_name) LEFT JOIN js ON js.page_id = l.page_id WHERE p.split = 'test'""",
+        "submission_join": submission,
         "shard_plan": f"WITH {PLAIN_FILES}, d AS (SELECT DISTINCT export_id || '/' || dir AS dir, file_name FROM files) SELECT dir, file_name, printf('shard-%05d.tar', (row_number() OVER (PARTITION BY dir ORDER BY file_name) - 1) // 100) AS shard FROM d",
         "shard_files": f"WITH {PLAIN_FILES}, {NEWEST}, n AS (SELECT export_id, dir, count(*) AS files FROM files GROUP BY ALL) SELECT n.export_id, n.dir, n.files, ceil(n.files / coalesce(max_files_per_shard, 2000)::DOUBLE)::BIGINT AS shards FROM n LEFT JOIN newest USING (export_id)",
         "dir_counts_guard": f"WITH {PLAIN_FILES}, n AS (SELECT export_id || '/' || dir AS dir, count(*) AS files FROM files GROUP BY 1) SELECT dir, files FROM n WHERE files > 100",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pagelens.operators import compaction, curate, match, metrics, nested, sampl
 from pagelens.operators import pages as pg
 from pagelens.plans import adapter as A
 from pagelens.plans import oracle
-from pagelens.session import prepare, table
+from pagelens.session import prepare, shared_folder, table
+from pagelens.sources import scans, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -404,6 +406,30 @@ def text_lines(spark: SparkSession, d: str) -> DataFrame:
     return table(prepare(spark), d, "page_raw").select("raw_id", F.array_join(lines(F.col("payload")), "\n").alias("lines"))
 
 
+#: Answers of page models as they come: fenced, talked around, cut off, malformed.
+MODEL_OUTPUTS = [
+    '[{"bbox":[0,0,10,10],"type":"printed","text":"а"}]',
+    '```json\n[{"bbox":[0,0,10,10],"text":"б]"},{"bbox":[5,5,500,20],"type":"stamp"}]\n```',
+    'Ось відповідь: [{"text":"в"}] і ще [1]',
+    '[{"bbox":[1,2,3,4],"text":"г"},{"bbox":[1,2,3',
+    '[{"text":"ґ"} {"text":"д"}]',
+    '["рядок", " ", 7, null, {"text":null}]',
+    "[]", "перший\n\n другий ", "", "```\nлише текст\n```", '{"a":[1,2]}', "[1,", "[x]",
+]
+
+
+@query
+def model_outputs(spark: SparkSession, d: str) -> DataFrame:
+    """What is read from answers of page models: items, status, text lines and regions on a page of 100 by 50."""
+    from pagelens.functions.jsonrepair import extract_array, regions_from_items
+    from pagelens.functions.jsonrepair import text_lines as lines
+
+    t = prepare(spark).createDataFrame(list(enumerate(MODEL_OUTPUTS)), "case_id int, answer string")
+    e = t.select("case_id", extract_array(F.col("answer")).alias("e"), lines(F.col("answer")).alias("lines"))
+    regions = F.transform(regions_from_items(F.col("e.items"), F.lit(100), F.lit(50)), lambda r: F.concat_ws(" ", _box(r["bbox"]), r["type"], r["text"], r["language"], r["legibility"]))
+    return e.select("case_id", F.size("e.items").alias("items"), "e.ok", "e.error", F.array_join("lines", "|").alias("lines"), F.array_join(regions, "|").alias("regions"))
+
+
 @query
 def submission_join(spark: SparkSession, d: str) -> DataFrame:
     """Submission rows of the test pages."""
@@ -460,6 +486,56 @@ def inference_modes(spark: SparkSession, d: str) -> DataFrame:
     return _inferred(spark, d).groupBy("mode").agg(F.count_if(F.size("regions") == 0).alias("empty_pages"))
 
 
+# Files: each query writes its table through a sink and reads it again through the scan.
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(prepare(spark))}/files-{uuid.uuid4().hex[:12]}"
+
+
+@query
+def scan_available(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of the train, silver and test files of a raw dataset."""
+    root, raw = _scratch(spark), A.raw_pages(spark, d)
+    for split in ("train", "silver", "test"):
+        sinks.write_jsonl(raw.where(F.col("split") == split).drop("row_id", "page_id", "split", "captured_at", "ingested_at"), f"{root}/{split}/metadata.jsonl")
+    p = scans.read_available(spark, root, include_silver=True)
+    return p.select("file_name", "image_name", "image_width", "image_height", "source", "split", F.size("regions").alias("n_regions"))
+
+
+@query
+def scan_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions written with folders before the names, read by base name."""
+    path = f"{_scratch(spark)}/predictions.jsonl"
+    sinks.write_jsonl(A.predictions(spark, d).withColumn("image", F.concat(F.lit("some/where/"), "image")), path)
+    p = scans.read_predictions(spark, path)
+    chars = F.aggregate("regions", F.lit(0), lambda a, r: a + F.length(r["text"]))
+    return p.select(F.col("image").cast("bigint").alias("page_id"), F.size("regions").alias("n_regions"), chars.alias("chars"))
+
+
+@query
+def scan_submission(spark: SparkSession, d: str) -> DataFrame:
+    """Submission rows written as CSV and read again."""
+    path = f"{_scratch(spark)}/submission.csv"
+    sinks.write_submission(submission_join(spark, d).withColumn("_ord", F.col("page_id")), path)
+    return scans.read_submission(spark, path).select(F.col("page_id").cast("bigint").alias("page_id"), "image", "regions")
+
+
+@query
+def scan_listing(spark: SparkSession, d: str) -> DataFrame:
+    """Files of label lines, written a page each and listed."""
+    root = _scratch(spark)
+    labels = yolo_labels(spark, d).select(F.concat_ws("/", (F.col("page_id") % 5).cast("string"), (F.col("page_id") % 3).cast("string"), F.concat(F.col("page_id").cast("string"), F.lit(".txt"))).alias("path"), F.col("label").alias("content"))
+    sinks.put_texts(labels, root).write.format("noop").mode("overwrite").save()
+    return scans.list_files(spark, root).select(F.col("path").substr(F.lit(len(root) + 2), F.lit(1 << 20)).alias("path"), "size_bytes")
+
+
+@query
+def val_assignments(spark: SparkSession, d: str) -> DataFrame:
+    """Split of each detector image by name."""
+    return curate.split_assignments(_curated(spark, d))
+
+
 # Packing and listings.
 
 
