@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from pagelens.llm import queries as Q
 from pagelens.llm.confusables import consistent, look_alike_classes, look_alike_pairs, look_digests, token_kind
-from pagelens.llm.cross_split import cross_split_pairs, difference, edit_distance, overlap_report, shared_letter_pairs
+from pagelens.llm.cross_split import LetterPairs, cross_split_pairs, difference, edit_distance, overlap_report, shared_letter_pairs
 from pagelens.llm.encode import WINDOW, cuts, encode_corpus, gear_table, rolling_hash
 from pagelens.llm.leakage import PASSAGE, leaked_items, words
 from pagelens.llm.residue import residue_documents, without_residue
@@ -283,7 +283,7 @@ def test_shared_letter_pairs():
     rng = random.Random(12)
     a, b = (["".join(rng.choice("абв") for _ in range(rng.randrange(1, 40))) for _ in range(30)] for _ in range(2))
     count = lambda t: Counter(zip(t, t[1:]))
-    assert shared_letter_pairs(a, b).tolist() == [[(count(x) & count(y)).total() for y in b] for x in a]
+    assert shared_letter_pairs(LetterPairs(a), LetterPairs(b)).tolist() == [[(count(x) & count(y)).total() for y in b] for x in a]
 
 
 def test_each_word_order_is_compared(spark):
