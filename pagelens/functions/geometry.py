@@ -55,3 +55,22 @@ def in_reading_order(regions: Column) -> Column:
     keyed = F.transform(regions, lambda r, i: F.struct(reading_band(r["bbox"]).alias("b"), r["bbox"][0].alias("x"), i.alias("i"), r.alias("r")))
     # The place in the list comes before the region, so regions themselves are never compared.
     return F.transform(F.sort_array(keyed), lambda k: k["r"])
+
+
+def fitted_size(width: Column, height: Column, most: int, least: int | None = None, factor: int = 32) -> Column:
+    """struct<width, height> of an image for a model: sides in multiples of ``factor``, between ``least`` and ``most`` pixels, about the same shape.
+
+    ``least`` is a quarter of ``most`` if it isn't given.  Null for sides that aren't positive or differ more than 200 times.
+    """
+    least = least or most // 4
+    w, h, f = width.cast("double"), height.cast("double"), F.lit(float(factor))
+    near = lambda x: F.greatest(f, F.rint(x / f) * f)
+    area = near(w) * near(h)
+    shrink, grow = F.sqrt(w * h / F.lit(float(most))), F.sqrt(F.lit(float(least)) / (w * h))
+
+    def side(x: Column) -> Column:
+        smaller, larger = F.greatest(f, F.floor(x / shrink / f) * f), F.ceil(x * grow / f) * f
+        return F.when(area > most, smaller).when(area < least, larger).otherwise(near(x)).cast("int")
+
+    fits = (w > 0) & (h > 0) & (F.greatest(w, h) / F.least(w, h) <= 200)
+    return F.when(fits, F.struct(side(w).alias("width"), side(h).alias("height")))

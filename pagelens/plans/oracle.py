@@ -193,6 +193,13 @@ found AS (
 NESTED_PAGES = NESTED.replace("tops AS", "owners AS (SELECT page_id, CASE WHEN json_type(p, '$.page') = 'OBJECT' THEN json_extract(p, '$.page') ELSE p END AS o FROM valid),\ntops AS").replace("SELECT page_id, payload::JSON AS p", "SELECT page_id, raw_id, payload::JSON AS p")
 
 
+def fitted(side: str, other: str, most: int) -> str:
+    near = lambda x: f"greatest(32, round_even({x} / 32.0::DOUBLE, 0) * 32)"
+    area = f"{near(side)} * {near(other)}"
+    return f"""(CASE WHEN {area} > {most} THEN greatest(32, floor({side} / sqrt({side}::DOUBLE * {other} / {most}.0::DOUBLE) / 32.0::DOUBLE) * 32)
+      WHEN {area} < {most // 4} THEN ceil({side} * sqrt({most // 4}.0::DOUBLE / ({side}::DOUBLE * {other})) / 32.0::DOUBLE) * 32 ELSE {near(side)} END)::INTEGER"""
+
+
 def field(o: str, name: str, kind: str = "") -> str:
     v = f"({o}->>'$.{name}')"
     return (f"TRY_CAST({v} AS {kind})" if kind else v) + f' AS "{name}"'
@@ -254,6 +261,8 @@ def oracle_sql() -> dict[str, str]:
             (10, 2, true, NULL, '1|2', ''),
             (11, 0, false, 'json_array_truncated', '[1,', ''),
             (12, 0, false, 'json_decode_error', '[x]', '')) t(case_id, items, ok, error, lines, regions)""",
+        "fitted_sizes": f"""WITH {PAGES} SELECT DISTINCT image_width, image_height, {fitted('image_width', 'image_height', 262144)} AS few_w, {fitted('image_height', 'image_width', 262144)} AS few_h,
+            {fitted('image_width', 'image_height', 16777216)} AS many_w, {fitted('image_height', 'image_width', 16777216)} AS many_h FROM pages WHERE image_width > 0 AND image_height > 0""",
         "scan_submission": submission,
         "scan_listing": f"SELECT page_id % 5 || '/' || page_id % 3 || '/' || page_id || '.txt' AS path, strlen(label)::BIGINT AS size_bytes FROM ({yolo})",
         "val_assignments": f"""{detector}, last_ AS (SELECT file_name, arg_max(split, source) AS split FROM splits GROUP BY 1)

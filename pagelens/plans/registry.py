@@ -255,6 +255,14 @@ def weighted_sample(spark: SparkSession, d: str) -> DataFrame:
     return sample.weighted_sample(r, "region_key", "quality_weight", 7)
 
 
+@query
+def fitted_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes of page images for a model with few and with many pixels."""
+    p = A.pages(spark, d).where("image_width > 0 AND image_height > 0").select("image_width", "image_height").distinct()
+    few, many = (G.fitted_size(F.col("image_width"), F.col("image_height"), n) for n in (262144, 16777216))
+    return p.select("image_width", "image_height", few["width"].alias("few_w"), few["height"].alias("few_h"), many["width"].alias("many_w"), many["height"].alias("many_h"))
+
+
 # Matching and scores.
 
 
