@@ -279,6 +279,24 @@ def test_changes_in_all_words(spark):
     assert {tuple(r) for r in cross_split_pairs(pages_of(spark, rows)).collect()} == want
 
 
+def test_all_pairs_within_a_fifth_are_found(spark):
+    rng = random.Random(13)
+    voc = ["".join(rng.choice("абвгдежзиклмнопрст") for _ in range(rng.randrange(2, 10))) for _ in range(2000)]
+    text = lambda n: " ".join(rng.choices(voc, [1 / (i + 1) for i in range(2000)], k=n))
+    rows, want = [], set()
+    for k in range(60):
+        n, part = rng.choice((8, 60)), rng.choice((0.1, 0.19))
+        t = text(n)
+        c = "".join(rng.choice("абвгдежзиклмнопрст") if x != " " and rng.random() < part else x for x in t)
+        rows += [(2 * k, f"a{k}", None, "s", "train", None, [t]), (2 * k + 1, f"b{k}", None, "s", "test", None, [c])]
+        a, b = t.replace(" ", ""), c.replace(" ", "")
+        if 5 * edit_distance(a, b) <= max(len(a), len(b)):
+            want.add((2 * k, 2 * k + 1))
+    rows += [(1000 + k, f"o{k}", None, "s", rng.choice(("train", "val")), None, [text(rng.choice((8, 60)))]) for k in range(300)]
+    got = {tuple(r) for r in cross_split_pairs(pages_of(spark, rows)).collect()}
+    assert want <= got and all(b == a + 1 for a, b in got) and len(want) > 30
+
+
 def test_shared_letter_pairs():
     rng = random.Random(12)
     a, b = (["".join(rng.choice("абв") for _ in range(rng.randrange(1, 40))) for _ in range(30)] for _ in range(2))
