@@ -37,7 +37,7 @@ SEGMENT_BYTES = 4 << 20
 #: Bytes under the rolling hash, a power of two.
 WINDOW = 16
 #: Characters of a chunk on average.
-MEAN = 128
+MEAN = 256
 #: Keys under which a shared chunk is joined, at most.
 SALTS = 32
 #: Parts among which a task deals its segments, so that few big input splits still give work to all cores.
@@ -136,12 +136,16 @@ class Tokenizer:
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
-        self.encode = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
+        self._encoding = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         self.lengths = np.zeros(max(table.values()) + 1, np.int64)
         for token, i in table.items():
             self.lengths[i] = len(token)
         self.packed = np.dtype("<u2" if len(self.lengths) <= 1 << 16 else "<i4")
 
+    def encode(self, piece: bytes) -> np.ndarray:
+        """Packed ids of a piece; there are no special tokens, so all of it is ordinary text."""
+        return self._encoding.encode_to_numpy(piece.decode(), disallowed_special=()).astype(self.packed)
+
 
 _loaded: dict[int, Tokenizer] = {}
 
@@ -167,7 +171,7 @@ def _owner(shipped):  # noqa: ANN001
             for pieces, marks in zip(batch.column("pieces"), batch.column("marks")):
                 m = marks.values.flatten()
                 slots, hashes, salts = m[0], m[1], m[2]
-                ids = [np.array(t.encode(x.decode()), t.packed).tobytes() for x in pieces.values.take(slots).to_pylist()]
+                ids = [t.encode(x).tobytes() for x in pieces.values.take(slots).to_pylist()]
                 yield pa.RecordBatch.from_arrays([hashes, salts, pa.array(ids, pa.binary())], names=["h", "salts", "ids"])
 
     return run
@@ -202,7 +206,7 @@ def assemble(row: dict, t: Tokenizer) -> pa.RecordBatch:
             ids[k] = np.frombuffer(x, t.packed)
     for k, x in enumerate(pieces.to_pylist()):
         if ids[k] is None:
-            ids[k] = np.array(t.encode(x.decode()), t.packed)
+            ids[k] = t.encode(x)
     counts = np.array([len(x) for x in ids], np.int64)
     starts, refs, a, b, repairs = (_list(row, c) for c in ("starts", "refs", "from_", "to_", "repairs"))
     doc_starts = _list(row, "doc_starts")
