@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pagelens.constants import DEFAULT_QUALITY_WEIGHT, QUALITY_WEIGHTS, REGION_STRUCT, REGION_TYPES
 from pagelens.functions.geometry import clamp_bbox
@@ -107,13 +108,11 @@ def latest(df: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def last_wins(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """Of rows with the same key the last by ``order`` (nulls first; ties: one of them); null keys count as one key.
+    """Of rows with the same key the last by ``order`` (nulls first; ties: one of them, by a hash of the row); null keys count as one key.
 
-    Of a key's rows only their orders and numbers are compared; whole rows are shuffled once, in the join.
+    Each task keeps its own last row of a key before rows are shuffled, once.
     """
-    o = F.struct(*[F.col(c) for c in order], F.col("__row"))
-    numbered = df.withColumn("__row", F.xxhash64(*[F.col(c) for c in df.columns if "map" not in dict(df.dtypes)[c]]))
-    top = numbered.groupBy(key).agg(F.max(o).alias("__last"))
-    top = top.select(F.col(key).alias("__key"), "__last")
-    kept = numbered.withColumn("__o", o).join(top, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__o").eqNullSafe(F.col("__last"))), "left_semi")
-    return kept.drop("__o", "__row").dropDuplicates([key])
+    kinds = dict(df.dtypes)
+    tie = F.xxhash64(*[F.col(c) for c in df.columns if "map" not in kinds[c] and "variant" not in kinds[c]])
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order], tie.desc()))
+    return df.withColumn("__r", rank).where("__r = 1").drop("__r")
