@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import unicodedata
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -10,6 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pagelens.llm import cross_split as cross
 from pagelens.llm import queries as Q
 from pagelens.llm.confusables import consistent, look_alike_classes, look_alike_pairs, look_digests, token_kind
 from pagelens.llm.cross_split import LetterPairs, cross_split_pairs, difference, edit_distance, overlap_report, shared_letter_pairs
@@ -304,6 +306,56 @@ def test_shared_letter_pairs():
     assert shared_letter_pairs(LetterPairs(a), LetterPairs(b)).tolist() == [[(count(x) & count(y)).total() for y in b] for x in a]
 
 
+def test_shared_prefixes():
+    rng = random.Random(14)
+    voc = ["".join(rng.choice("абв") for _ in range(rng.randrange(1, 4))) for _ in range(30)]
+    a, b = ([" ".join(rng.choices(voc, k=rng.choice((1, 2, 5, 12, 13, 40)))) for _ in range(60)] for _ in range(2))
+
+    def shingles(t):
+        w = t.split(" ")
+        return {*zip(w, w[1:]), *([(x,) for x in w] if len(w) <= cross.SHORT else [])}
+
+    sa, sb = cross.Shingles(a), cross.Shingles(b)
+    common = [[len(shingles(x) & shingles(y)) for y in b] for x in a]
+    assert cross.shared_kinds(sa, sb).tolist() == common
+    got = cross.shared_prefixes(sa, sb)
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            assert got[i, j] <= common[i][j]
+            if common[i][j] >= cross.RETRIEVE * max(len(shingles(x)), len(shingles(y))):
+                assert got[i, j] >= min(sa.need[i], sb.need[j])
+
+
+def test_disk_of_blocks_is_in_proportion(spark, monkeypatch):
+    """What is shuffled grows with the texts, not with the pairs of blocks, and tables too large for a broadcast give the same."""
+    monkeypatch.setattr(cross, "BLOCK", 1000)
+    rng = random.Random(15)
+    voc = ["".join(rng.choice("абвгдежзиклмнопрст") for _ in range(rng.randrange(4, 8))) for _ in range(3000)]
+    context = spark.sparkContext._jsc.sc()
+
+    def written():
+        context.listenerBus().waitUntilEmpty()
+        time.sleep(0.3)
+        spark.range(1).count()
+        context.listenerBus().waitUntilEmpty()
+        return context.statusStore().executorSummary("driver").totalShuffleWrite()
+
+    def shuffled(n):
+        rows = []
+        for i in range(n):
+            t = rng.choices(voc, k=40)
+            rows += [(2 * i, f"a{i}", None, "s", "train", None, [" ".join(t)]), (2 * i + 1, f"b{i}", None, "s", "val", None, [" ".join([*t[:20], *rng.choices(voc, k=2), *t[22:]])])]
+        before = written()
+        assert {tuple(r) for r in cross_split_pairs(pages_of(spark, rows)).collect()} == {(2 * i, 2 * i + 1) for i in range(n)}
+        return written() - before
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffled(320) < 4.5 * shuffled(80)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_each_word_order_is_compared(spark):
     rng = random.Random(8)
     a = [w + e for w in WORDS[:24] for e in ("", "ом")]
